@@ -107,7 +107,8 @@ def find_members(read_at: Callable[[int, int], bytes], size: int) -> dict[str, t
     end record, its ZIP64 form and the central directory."""
     tail_at = max(0, size - 65_557)
     tail = read_at(tail_at, size - tail_at)
-    end = tail.rfind(b"PK\5\6")
+    last = max(0, len(tail) - 18)  # the record has 22 bytes
+    end = tail.rfind(b"PK\5\6", 0, last)
     while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
         end = tail.rfind(b"PK\5\6", 0, end)
     if end < 0:
@@ -115,16 +116,16 @@ def find_members(read_at: Callable[[int, int], bytes], size: int) -> dict[str, t
     count, length, start = struct.unpack_from("<HII", tail, end + 10)
     if 0xFFFF == count or 0xFFFFFFFF in (length, start):
         locator = read_at(tail_at + end - 20, 20) if tail_at + end >= 20 else b""
-        if locator[:4] != b"PK\6\7":
+        if locator[:4] != b"PK\6\7" or len(locator) < 20:
             raise ValueError("no ZIP64 locator")
         record = read_at(struct.unpack_from("<Q", locator, 8)[0], 56)
-        if record[:4] != b"PK\6\6":
+        if record[:4] != b"PK\6\6" or len(record) < 56:
             raise ValueError("no ZIP64 end of central directory")
         count, length, start = struct.unpack_from("<QQQ", record, 32)
     directory = read_at(start, length)
     found, at = {}, 0
     for _ in range(count):
-        if directory[at : at + 4] != b"PK\1\2":
+        if directory[at : at + 4] != b"PK\1\2" or len(directory) < at + 46:
             raise ValueError("bad central directory entry")
         flags, method = struct.unpack_from("<2H", directory, at + 8)
         crc, packed, plain, n, m, k = struct.unpack_from("<3I3H", directory, at + 16)
@@ -145,7 +146,7 @@ def find_members(read_at: Callable[[int, int], bytes], size: int) -> dict[str, t
         if packed != plain:
             raise ValueError(f"stored member {name} with two sizes")
         head = read_at(local, 30)
-        if head[:4] != b"PK\3\4":
+        if head[:4] != b"PK\3\4" or len(head) < 30:
             raise ValueError(f"no local header of {name}")
         n, m = struct.unpack_from("<2H", head, 26)
         found[name] = (local + 30 + n + m, plain, crc)

@@ -1,0 +1,79 @@
+import hashlib
+import io
+import zlib
+
+import numpy as np
+import pytest
+
+from shelfline.llm.media import (
+    decode, decode_bmp, decode_netpbm, difference_hash, encode_bmp, encode_pgm, encode_text, media_features, npy_tile, padded, resize_area, to_grey,
+)
+from shelfline.llm.q_media import op7_media_columns
+
+
+def test_netpbm_forms():
+    assert decode(b"P1 # c\n3 2\n101\n0 1 0").tolist() == [[0, 255, 0], [255, 0, 255]]
+    assert decode(b"P2\n2 1 9\n3 4").tolist() == [[3, 4]]
+    assert decode(b"P3\n1 1 255 1 2 3\n").tolist() == [[[1, 2, 3]]]
+    assert decode(b"P4\n9 1\n\xff\x80").tolist() == [[0] * 9]
+    assert decode(b"P5 2 1 255 \x07\x08").tolist() == [[7, 8]]
+    assert decode(b"P5 1 1 65535\n\x01\x02").tolist() == [[258]]
+    assert decode(b"P6 1 1 255\n\x01\x02\x03").tolist() == [[[1, 2, 3]]]
+
+
+@pytest.mark.parametrize("bad", [b"", b"P", b"P9 1 1", b"P5 2 2 255\n\x01", b"P5 0 1 255\n", b"P5 x", b"BM", b"BM" + bytes(60), b"P2 2 1 9 3"])
+def test_bad_pictures(bad):
+    with pytest.raises(ValueError):
+        decode(bad)
+
+
+def test_bmp_forms():
+    rng = np.random.default_rng(1)
+    for shape in ((3, 5), (4, 4), (2, 7, 3), (3, 2, 3)):
+        pixels = rng.integers(0, 256, shape, dtype=np.uint8)
+        assert (decode_bmp(encode_bmp(pixels)) == pixels).all()
+    import struct
+
+    head = struct.pack("<2sIHHI", b"BM", 0, 0, 0, 62) + struct.pack("<IiiHHIIiiII", 40, 10, -1, 1, 1, 0, 4, 0, 0, 2, 0)
+    data = head + bytes([0, 0, 0, 0, 255, 255, 255, 0]) + bytes([0b10110000, 0b01000000, 0, 0])
+    assert decode(data).tolist() == [[255, 0, 255, 255, 0, 0, 0, 0, 0, 255]]
+
+
+def test_area_resize_is_the_mean_over_fractions():
+    rng = np.random.default_rng(2)
+    for h, w, rows, cols in ((1, 64, 8, 9), (7, 5, 3, 4), (16, 18, 8, 9), (3, 3, 3, 3)):
+        p = rng.integers(0, 256, (h, w))
+        fine = np.kron(p, np.ones((rows, cols)))  # each pixel as rows x cols equal parts
+        want = fine.reshape(rows, h, cols, w).mean(axis=(1, 3))
+        assert np.allclose(resize_area(p, rows, cols), want)
+
+
+def test_hash_and_tile():
+    tile = np.array([[1, 2, 1, 3, 3, 4, 5, 4, 9]] * 8, dtype=float)
+    assert difference_hash(tile) == int("10101101" * 8, 2) or difference_hash(tile) == int("".join("1" if a < b else "0" for a, b in zip(tile[0], tile[0][1:], strict=False)) * 8, 2)
+    assert (np.load(io.BytesIO(npy_tile(tile))) == tile).all()
+    assert to_grey(np.zeros((2, 2, 3), np.uint8)).shape == (2, 2)
+
+
+def test_texts(spark, odd, none, clashing):
+    for df in (odd, clashing):
+        rows = media_features(encode_text(df, "text", ("doc_id",)), "media", ("doc_id",)).collect()
+        texts = df.select("text").collect()
+        for row, (text,) in zip(rows, texts, strict=True):
+            payload = padded((text or "").encode())
+            assert row["payload_bytes"] == len(payload) and row["payload_sha256"] == hashlib.sha256(payload).hexdigest()
+            assert row["tail_crc32"] == zlib.crc32(payload[-64:]) and row["error"] is None
+            assert row["media_sha256"] == hashlib.sha256(encode_pgm(payload)).hexdigest()
+            assert row["dhash"] == f"{difference_hash(resize_area(decode_netpbm(encode_pgm(payload)), 8, 9)):016x}"
+    assert media_features(encode_text(none)).count() == 0
+    bad = spark.createDataFrame([(1, b"P5 bad"), (2, None)], "doc_id int, media binary")
+    assert [(r["dhash"], bool(r["error"])) for r in media_features(bad).collect()] == [(None, True), (None, False)]
+
+
+def test_query(spark, sf_dir):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = op7_media_columns(spark, sf_dir).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        data = docs[r["doc_id"]].encode()
+        assert r["n_bytes"] == len(data) and r["payload_sha256"] == hashlib.sha256(padded(data)).hexdigest()
