@@ -9,10 +9,13 @@ out; the rest are confirmed on the full sets, so no link is wrong.
 Groups of copies. Documents of equal sets are one class, held by its least id.
 Only classes have bands, links and components. In each bucket of a band every
 class is compared with the bucket's least class, its hub: as many pairs as
-members. Classes that are then still in another component than the hub of a
-bucket are compared with every member of that bucket outside their own
-component. So every pair of one bucket is either confirmed, refused, or already
-in one component, and no group is expanded into all of its pairs.
+members. Buckets whose members are then in several components are chained into
+families; the members of a family outside its largest component, the strays, are
+compared on full sets with all of the family, block by block, inside a task: a
+block counts the common shingles of one stray with all members in one sweep, and
+hands on one link for each component that the stray reaches. So every pair of
+one bucket is confirmed, refused, or already in one component, while no group is
+expanded into its pairs.
 
 A pair of similarity 0.75 shares no bucket with a chance of 5 in a million.
 
@@ -46,6 +49,8 @@ BANDS = PERMUTATIONS // BAND_ROWS
 WORDS = PERMUTATIONS * BITS // 64
 #: Estimates so many standard deviations below the threshold are refused without the sets.
 SIGMAS = 6.0
+#: Strays and members of a family that meet in one block, about.
+BLOCK_STRAYS, BLOCK_MEMBERS = 1024, 1024
 
 _RANDOM = np.random.default_rng(20240501)
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -206,20 +211,72 @@ def full_sets(df: DataFrame, ids: DataFrame, key: str = "doc_id", text: str = "t
 # ---------------------------------------------------------------- links
 
 
-def confirm(pairs: DataFrame, df: DataFrame, reps: DataFrame, key: str, text: str, percent: int) -> DataFrame:
+def confirm(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (x, y) that are similar: by estimate first, then on sets."""
     x = reps.select(F.col("id").alias("x"), F.col("packed").alias("px"))
     y = reps.select(F.col("id").alias("y"), F.col("packed").alias("py"))
     likely = pairs.join(x, "x").join(y, "y").where(estimated("px", "py") >= least_estimate(percent)).select("x", "y").distinct()
-    likely = materialize(likely, "likely")
-    ids = likely.select(F.explode(F.array("x", "y")).alias("id")).distinct()
-    sets = materialize(full_sets(df, ids, key, text), "sets")
     joined = likely.join(sets.select(F.col("id").alias("x"), F.col("set").alias("sx")), "x").join(sets.select(F.col("id").alias("y"), F.col("set").alias("sy")), "y")
     both = F.size(F.array_intersect("sx", "sy")).cast("bigint")
     similar = 100 * both >= percent * (F.size("sx") + F.size("sy") - both)
     return joined.where(similar).select("x", "y").distinct()
 
 
+def _linked(strays: pa.Table, members: pa.Table, percent: int) -> pa.Table:
+    """(x, y): for each stray, a member of each other component that it is similar to."""
+    lists = members["set"].combine_chunks()
+    values = lists.flatten().to_numpy()
+    sizes = np.diff(lists.offsets.to_numpy())
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    known, place = np.unique(values, return_inverse=True)
+    place = place.astype(np.int32)
+    ids, parts = members["id"].to_numpy(), members["c"].to_numpy()
+    marks = np.zeros(len(known), dtype=np.uint8)
+    xs, ys = [], []
+    for x, c, own in zip(strays["id"].to_pylist(), strays["c"].to_pylist(), strays["set"], strict=True):
+        own = own.values.to_numpy()
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        at = at[known[at] == own]
+        marks[at] = 1
+        both = np.add.reduceat(marks[place], starts, dtype=np.int64)
+        marks[at] = 0
+        hit = np.flatnonzero((100 * both >= percent * (sizes + len(own) - both)) & (parts != c))
+        for i in hit[np.unique(parts[hit], return_index=True)[1]]:
+            xs.append(x)
+            ys.append(int(ids[i]))
+    return pa.table({"x": pa.array(xs, pa.int64()), "y": pa.array(ys, pa.int64())})
+
+
+def stray_links(shared: DataFrame, first: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components that share a bucket (band, hub, id)."""
+    known = first.select("id", F.col("component").alias("c"))
+    labelled = materialize(shared.join(known, "id", "left").withColumn("c", F.coalesce("c", "id")), "labelled")
+    mixed = labelled.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("band")
+    chained = materialize(labelled.join(mixed, "band", "left_semi").select(F.col("id").alias("x"), F.col("hub").alias("y"), "c"), "chained")
+    family = components(chained.select("x", "y")).withColumnRenamed("component", "family")
+    members = materialize(family.join(chained.select(F.col("x").alias("id"), "c").distinct(), "id"), "families")
+    parts = members.groupBy("family", "c").agg(F.count(F.lit(1)).alias("n"))
+    sizes = parts.groupBy("family").agg(F.sum("n").alias("all"), F.max(F.struct("n", "c")).alias("top"))
+    blocks = sizes.select(
+        "family", F.col("top.c").alias("main"),
+        F.ceil((F.col("all") - F.col("top.n")) / BLOCK_STRAYS).cast("int").alias("sb"), F.ceil(F.col("all") / BLOCK_MEMBERS).cast("int").alias("mb"),
+    ).where("sb > 0")
+    rows = members.join(blocks, "family").join(sets, "id")
+    deal = F.xxhash64("id")
+    strays = rows.where("c <> main").withColumn("s", F.pmod(deal, F.col("sb")).cast("int")).withColumn("m", F.explode(F.sequence(F.lit(0), F.col("mb") - 1)))
+    others = rows.withColumn("m", F.pmod(deal, F.col("mb")).cast("int")).withColumn("s", F.explode(F.sequence(F.lit(0), F.col("sb") - 1)))
+    columns = ("family", "s", "m", "id", "c", "set")
+    keys = columns[:3]
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table({"x": pa.array([], pa.int64()), "y": pa.array([], pa.int64())})
+        return _linked(left, right, percent)
+
+    renamed = others.select(*[F.col(c).alias(f"o_{c}") for c in columns]).toDF(*columns)  # both sides come from one table
+    return strays.select(*columns).groupBy(*keys).cogroup(renamed.groupBy(*keys)).applyInArrow(run, "x bigint, y bigint")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of the ends of ``edges`` (x, y), the component being its
     least id. Large-star and small-star steps in turn, each a partial aggregation
@@ -258,19 +315,12 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     bucketed = reps.select("id", F.explode("bands").alias("band"))
     hubs = bucketed.groupBy("band").agg(F.min("id").alias("hub"), F.max("id").alias("other")).where("hub <> other").select("band", "hub")
     shared = materialize(bucketed.join(hubs, "band").select("band", "hub", "id"), "buckets")
+    sets = materialize(full_sets(df, shared.select("id").distinct(), key, text), "sets")
     stars = shared.where("id <> hub").select(F.col("id").alias("x"), F.col("hub").alias("y")).distinct()
-    links = confirm(stars, df, reps, key, text, percent)
-    # ids of several classes join these classes
+    first = materialize(components(confirm(stars, reps, sets, percent)), "components")
+    more = stray_links(shared, first, sets, percent)
+    # an id in several classes joins these classes
     same_id = members.where("id <> rep").select(F.col("id").alias("x"), F.col("rep").alias("y"))
-    first = materialize(components(links), "components")
-    labelled = shared.join(first, "id", "left").withColumn("c", F.coalesce("component", "id")).select("band", "hub", "id", "c")
-    at_hub = first.select(F.col("id").alias("hub"), F.col("component").alias("hc"))
-    labelled = materialize(labelled.join(at_hub, "hub", "left").withColumn("apart", F.col("c") != F.coalesce("hc", "hub")), "labelled")
-    # members outside their hub's component, against the members of other components of the bucket
-    strays = labelled.where("apart").select("band", F.col("id").alias("x"), F.col("c").alias("cx"))
-    others = labelled.where("id <> hub").join(strays.select("band").distinct(), "band", "left_semi").select("band", F.col("id").alias("y"), F.col("c").alias("cy"), F.col("apart").alias("too"))
-    rest = strays.join(others, "band").where("cx <> cy AND (NOT too OR x < y)").select("x", "y").distinct()
-    more = confirm(rest, df, reps, key, text, percent)
     found = materialize(components(first.select(F.col("id").alias("x"), F.col("component").alias("y")).unionByName(more).unionByName(same_id)), "components")
     rows = made.select(F.col("id").alias(key), "n_shingles").join(found.withColumnRenamed("id", key), key, "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("component", key)).otherwise(F.col(key))
