@@ -40,7 +40,7 @@ MIN_ROWS, MIN_Z = 3, 3.0
 FACTORS, EPOCHS, RATE, DECAY = 8, 30, 0.05, 1e-4
 PREFIXES = (3, 5)
 WORD = re.compile(r"[^\W\d_]+")
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 120_000
 
 
 def held_out(key: Column) -> Column:
@@ -52,10 +52,9 @@ def held_out(key: Column) -> Column:
 
 
 class Terms:
-    """Hashed terms of texts, with a bounded cache of words."""
+    """Hashed terms of texts, with a bounded cache of words for the worker process."""
 
-    def __init__(self) -> None:
-        self.cache: dict[str, tuple[int, ...]] = {}
+    cache: dict[str, tuple[int, ...]] = {}
 
     @staticmethod
     def of_word(word: str) -> tuple[int, ...]:
@@ -64,9 +63,9 @@ class Terms:
 
     def __call__(self, text: str | None) -> set[int]:
         found: set[int] = set()
-        if len(self.cache) > _CACHE_WORDS:
-            self.cache = {}
         cache = self.cache
+        if len(cache) > _CACHE_WORDS:
+            cache.clear()
         for word in set(WORD.findall((text or "").lower())):
             terms = cache.get(word)
             if terms is None:
