@@ -224,7 +224,7 @@ def log_probabilities(grams: np.ndarray, table: KeyTable, alpha: np.ndarray, gam
     """Natural logs for 5-gram keys, from the smallest order upwards: an n-gram's
     own part plus its context's weight times the next smaller order."""
     p = np.full(len(grams), 1.0 / (1 << BITS))
-    for n in range(1, ORDER + 1):
+    for n in range(1, ORDER + 1) if len(alpha) else ():
         gram = grams & ((1 << (BITS * n)) - 1)
         at, context = table.find(gram), table.find(gram >> BITS)
         weight = np.where(context >= 0, gamma[context], 1.0)
