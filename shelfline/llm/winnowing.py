@@ -65,7 +65,7 @@ def winnow(text: Column, k: int = K, w: int = W) -> Column:
 
     def choose(g: Column) -> Column:
         starts = F.slice(g, F.lit(1), F.size(g) - (w - 1))
-        least = F.transform(starts, lambda x, i: F.least(x, *(g[i + j] for j in range(1, w))))
+        least = F.transform(starts, lambda x, i: F.least(x, *(g[i + j] for j in range(1, w))) if w > 1 else x)
         return F.when(F.size(g) == 0, g).when(F.size(g) < w, F.array(F.array_min(g))).otherwise(F.array_distinct(least))
 
     hashed = F.transform(units(text), lambda u: F.xxhash64(u))
