@@ -48,5 +48,10 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def text_hashes(text: Column) -> list[Column]:
+    """128 bits that stand for a text, as two numbers; null has numbers as well."""
+    return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -15,8 +15,9 @@ ones. No group of occurrences is ever collected.
 Defined results
     null text            stays null, without removed spans
     empty text           stays empty
-    ties                 rows of one id are one document: they keep and lose alike
-    null ids             rank after all others
+    ties                 rows of one id are one document: none is a repeat of another
+    texts of one id      each loses its own repeats, as unit numbers hold for one text
+    null ids             rank after all others, and are one document like rows of one id
     all units removed    the empty text
     empty table          no rows
 Other columns pass through; names that begin with __dedup are reserved.
@@ -33,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_hashes
+
 #: A run of repeated units goes if it has so many words.
 MIN_WORDS = 8
 #: Where a unit ends: a line feed, or the end of a sentence.
@@ -101,8 +104,9 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def find_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, repeats): for each document, the numbers of units that an earlier
-    document has; documents without any have no row."""
+    """(key, x, y, repeats): for each text of a document, known by its hashes x and
+    y, the numbers of units that an earlier document has; texts without any have no
+    row."""
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +114,7 @@ def find_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             for at in range(0, big.num_rows, 500):
                 batch = big.slice(at, 500)
                 row, number, digest = [], [], []
-                for i, value in enumerate(batch.column(1).to_pylist()):
+                for i, value in enumerate(batch.column(3).to_pylist()):
                     pairs = unit_digests(value or "")
                     # within a text only the first of equal units counts
                     _, first = np.unique(pairs.view("<i8,<i8"), return_index=True)
@@ -118,23 +122,27 @@ def find_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                     number.append(first)
                     digest.append(pairs[first])
                 digests = np.concatenate(digest)
+                rows = pa.array(np.concatenate(row))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(np.concatenate(row))), pa.array(np.concatenate(number).astype(np.int32)), pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy())],
-                    names=["k", "n", "a", "b"],
+                    [*(batch.column(c).take(rows) for c in range(3)), pa.array(np.concatenate(number).astype(np.int32)), pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy())],
+                    names=["k", "x", "y", "n", "a", "b"],
                 )
 
-    found = df.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(run, f"k {kind}, n int, a bigint, b bigint")
+    x, y = text_hashes(F.col(text))
+    found = df.select(F.col(key).alias("k"), x.alias("x"), y.alias("y"), F.col(text).alias("t")).mapInArrow(run, f"k {kind}, x bigint, y bigint, n int, a bigint, b bigint")
     # min leaves out nulls: only where all ids are null is there no first document
     groups = found.groupBy("a", "b").agg(F.min("k").alias("head"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
     later = found.join(groups, ["a", "b"]).where(~F.col("k").eqNullSafe(F.col("head")))
-    return later.groupBy("k").agg(F.collect_set("n").alias("repeats")).withColumnRenamed("k", key)
+    return later.groupBy("k", "x", "y").agg(F.collect_set("n").alias("repeats")).withColumnRenamed("k", key)
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, spans: str = "removed") -> DataFrame:
     """``df`` with repeats removed from ``text`` and a column ``spans`` of (start,
     end) in the original text, counted in code points."""
-    repeats = find_repeats(df, key, text).select(F.col(key).alias("__dedup_key"), F.col("repeats").alias("__dedup"))
-    joined = df.join(repeats, F.col(key).eqNullSafe(F.col("__dedup_key")), "left").drop("__dedup_key")
+    repeats = find_repeats(df, key, text).toDF("__dedup_key", "__dedup_x", "__dedup_y", "__dedup")
+    x, y = text_hashes(F.col(text))
+    own = F.col(key).eqNullSafe(F.col("__dedup_key")) & (x == F.col("__dedup_x")) & (y == F.col("__dedup_y"))
+    joined = df.join(repeats, own, "left")
     names = [c for c in df.columns if c != spans]
     at, last = names.index(text), len(names)
 

@@ -66,6 +66,18 @@ def test_odd_rows(odd, none, clashing):
     assert remove_repeats(none).count() == 0 and find_repeats(none).count() == 0
 
 
+def test_texts_of_one_id(spark):
+    """A repeat in one text cuts nothing from the others of its id, null included."""
+    shared = "This sentence of ten words stands in many different documents."
+    own = {k: f"Unit zero of text {k} has words enough to go alone. Unit one of text {k} has words enough to go too." for k in "abcd"}
+    rows = [(1, shared)]
+    for key, first, second in ((7, "a", "b"), (None, "c", "d")):
+        rows += [(key, f"{own[first]} {shared}"), (key, f"{shared} {own[first]}"), (key, f"{own[second]} And the last unit of {second} is no repeat of any.")]
+    want = [(k, t.replace(shared, "").strip() if k != 1 else t) for k, t in rows]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert sorted(((k, t) for k, t, _ in got(remove_repeats(df))), key=repr) == sorted(want, key=repr)
+
+
 @pytest.mark.parametrize("sf", ["0.01"])
 def test_query(spark, sf):
     d = f"/root/testdata/sf{sf}"
