@@ -50,7 +50,7 @@ def lower_ascii(text: Column) -> Column:
 
 def text_hashes(text: Column) -> list[Column]:
     """128 bits that stand for a text, as two numbers; null has numbers as well."""
-    return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+    return [F.xxhash64(text).alias("hash_x"), F.xxhash64(F.lit(1), text).alias("hash_y")]
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, text_hashes
 
 ORDER = 5
 BITS = 12
@@ -235,8 +235,9 @@ def log_probabilities(grams: np.ndarray, table: KeyTable, alpha: np.ndarray, gam
 # ---------------------------------------------------------------- scoring
 
 
-def _pack(texts: list[str], ids: list, langs: list) -> bytes:
-    table = pa.table({"id": pa.array(ids, pa.int64()), "lang": pa.array(langs, pa.string()), "text": pa.array(texts, pa.string())})
+def _pack(texts: list[str], ids: list, langs: list, hash_x: list, hash_y: list) -> bytes:
+    longs = {name: pa.array(own, pa.int64()) for name, own in (("id", ids), ("hash_x", hash_x), ("hash_y", hash_y))}
+    table = pa.table({**longs, "lang": pa.array(langs, pa.string()), "text": pa.array(texts, pa.string())})
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema) as out:
         out.write_table(table)
@@ -251,7 +252,7 @@ def packed_blocks(df: DataFrame, key: str, text: str, lang: str, blocks: int) ->
     """(block, blob): documents by the hash of their key, marked and packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[list, list, list]] = {}
+        held: dict[int, tuple[list, ...]] = {}
         size = 0
 
         def flush() -> pa.RecordBatch:
@@ -260,10 +261,10 @@ def packed_blocks(df: DataFrame, key: str, text: str, lang: str, blocks: int) ->
             return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["block", "blob"])
 
         for batch in batches:
-            for block, i, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = held.setdefault(block, ([], [], []))
+            for block, i, x, *others in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = held.setdefault(block, ([], [], [], [], []))
                 x = marked(x)
-                for part, value in zip(own, (x, i, y), strict=True):
+                for part, value in zip(own, (x, i, *others), strict=True):
                     part.append(value)
                 size += len(x) + 50
                 if size > 16_000_000:
@@ -273,7 +274,7 @@ def packed_blocks(df: DataFrame, key: str, text: str, lang: str, blocks: int) ->
             yield flush()
 
     block = F.pmod(F.xxhash64(F.col(key).cast("bigint"), F.length(text)), F.lit(blocks)).cast("int")
-    rows = df.select(block.alias("block"), F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+    rows = df.select(block.alias("block"), F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), *text_hashes(F.col(text)))
     return rows.mapInArrow(run, "block int, blob binary").repartition(blocks, "block")
 
 
@@ -305,7 +306,8 @@ def block_ngrams(blocks: DataFrame) -> DataFrame:
     return blocks.mapInArrow(run, "block int, key bigint")
 
 
-SCORED = "id bigint, lang string, n_symbols bigint, perplexity double"
+#: hash_x and hash_y stand for the text as it was before marking.
+SCORED = "id bigint, lang string, hash_x bigint, hash_y bigint, n_symbols bigint, perplexity double"
 
 
 def score_blocks(blocks: DataFrame, model: DataFrame) -> DataFrame:
@@ -336,8 +338,8 @@ def score_blocks(blocks: DataFrame, model: DataFrame) -> DataFrame:
             n = np.concatenate(counts) if counts else np.zeros(0, np.int64)
             perplexity = np.exp(-total / np.maximum(n, 1))
             known = (n > 0) & (len(key) > 0)
-            out.append(pa.table([docs["id"], docs["lang"], pa.array(n), pa.array(perplexity, mask=~known)], names=names))
-        return pa.concat_tables(out) if out else pa.table({c: pa.array([], t) for c, t in zip(names, (pa.int64(), pa.string(), pa.int64(), pa.float64()), strict=True)})
+            out.append(pa.table([docs["id"], docs["lang"], docs["hash_x"], docs["hash_y"], pa.array(n), pa.array(perplexity, mask=~known)], names=names))
+        return pa.concat_tables(out) if out else pa.table({c: pa.array([], t) for c, t in zip(names, (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)})
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, SCORED)
 
@@ -362,8 +364,9 @@ def trusted_text(df: DataFrame, trusted: DataFrame, key: str = "doc_id", text: s
     return rows.select("*", bucket("id")).join(F.broadcast(buckets), "bucket", "left_semi").join(trusted, "id", "left_semi").select("text")
 
 
-def score_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
-    """(key, lang, n_symbols, perplexity, adjusted, threshold, kept) for each row."""
+def decisions(df: DataFrame, labels: DataFrame, key: str, text: str, lang: str, quantile: float, slack: float) -> DataFrame:
+    """(id, lang, hash_x, hash_y, n_symbols, perplexity, adjusted, threshold, kept)
+    for each row."""
     trusted = materialize(trusted_ids(labels, key).withColumn("aside", F.crc32(F.encode(F.col("id").cast("string"), "UTF-8")) % 5 == 1), "trusted")
     model = fit_model(trusted_text(df, trusted.where("NOT aside").select("id"), key, text))
     chars = df.select(F.sum(F.length(text)).alias("n")).first()["n"] or 0
@@ -376,10 +379,20 @@ def score_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
     limits = good.where(F.col("lang").isNotNull()).groupBy("lang").agg(cut, F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_CALIBRATION).drop("n")
     joined = scored.join(limits, "lang", "left").withColumn("threshold", F.coalesce("threshold", F.lit(overall).cast("double")))
     kept = (F.col("n_symbols") > 0) & F.coalesce(F.col("adjusted") <= F.col("threshold"), F.lit(True))
-    return joined.select(F.col("id").alias(key), F.col("lang").alias(lang), "n_symbols", "perplexity", "adjusted", "threshold", kept.alias("kept"))
+    return joined.select("id", "lang", "hash_x", "hash_y", "n_symbols", "perplexity", "adjusted", "threshold", kept.alias("kept"))
+
+
+def score_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
+    """(key, lang, n_symbols, perplexity, adjusted, threshold, kept) for each row."""
+    made = decisions(df, labels, key, text, lang, quantile, slack)
+    return made.select(F.col("id").alias(key), F.col("lang").alias(lang), "n_symbols", "perplexity", "adjusted", "threshold", "kept")
 
 
 def drop_low_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The kept documents, all columns. Rows of one id go only together."""
-    gone = score_quality(df, labels, key, text, lang).groupBy(key).agg(F.max("kept").alias("kept")).where("NOT kept").select(key)
-    return df.join(gone, key, "left_anti").select(*df.columns)
+    """The kept documents, all columns. Each row goes or stays by its own decision,
+    with null ids and with several texts of one id too."""
+    made = decisions(df, labels, key, text, lang, QUANTILE, SLACK).where("NOT kept")
+    gone = made.groupBy("id", "lang", "hash_x", "hash_y").agg(F.lit(1)).toDF("__quality_id", "__quality_lang", "__quality_x", "__quality_y", "__quality")
+    x, y = text_hashes(F.col(text))
+    same = F.col(key).cast("bigint").eqNullSafe(F.col("__quality_id")) & F.col(lang).cast("string").eqNullSafe(F.col("__quality_lang"))
+    return df.join(gone, same & (x == F.col("__quality_x")) & (y == F.col("__quality_y")), "left_anti").select(*df.columns)

@@ -90,6 +90,21 @@ def test_odd_rows(spark, odd, none, clashing):
     assert score_quality(none, labels).count() == 0
 
 
+def test_each_row_has_its_own_decision(spark):
+    """Rejected texts go though their id is null or has a kept text as well."""
+    words = "the cat sat on a mat and then it ran to see who came from town by bus".split()
+    good = [" ".join(words[(i * 7 + j * (1 + i % 5)) % len(words)] for j in range(40)) for i in range(40)]
+    junk = "xq zvk jjw " + " ".join(f"{i * 7919 % 99991:x}#" for i in range(60))
+    odd_ids = [(100, good[3]), (100, junk), (None, good[4]), (None, junk), (None, junk), (101, junk)]
+    df = spark.createDataFrame([(i, t, "en") for i, t in [*enumerate(good), *odd_ids]], "doc_id bigint, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    scored = [(r["doc_id"], r["kept"]) for r in score_quality(df, labels).collect()]
+    assert sorted(k for i, k in scored if i == 100) == [False, True] and sorted(k for i, k in scored if i is None) == [False, False, True]
+    left = drop_low_quality(df, labels).collect()
+    assert sorted([r["doc_id"] for r in left], key=repr) == sorted([i for i, k in scored if k], key=repr)
+    assert all(r["text"] != junk for r in left)
+
+
 def test_labels_and_scores(spark):
     d = "/root/testdata/sf0.01"
     rows = op4_ngram_quality(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").collect()
