@@ -38,6 +38,8 @@ from .common import text_hashes
 
 #: A run of repeated units goes if it has so many words.
 MIN_WORDS = 8
+#: Scripts without spaces, of which each character counts as a word.
+WIDE = re.compile(r"[぀-ヿ㐀-䶿一-鿿]")
 #: Where a unit ends: a line feed, or the end of a sentence.
 BREAK = re.compile(r"[\n.!?。！？](?:(?<=[\n。！？])|(?=\s))")
 
@@ -55,6 +57,11 @@ def units(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
+def word_count(form: str) -> int:
+    """Words parted by white space; ideographs and kana singly."""
+    return form.count(" ") + 1 if form.isascii() else len(WIDE.sub(" x ", form).split())
+
+
 def unit_digests(text: str) -> np.ndarray:
     """(units, 2) numbers of 64 bits."""
     data = b"".join(hashlib.blake2b(form.encode("utf-8", "replace"), digest_size=16).digest() for _, _, form in units(text))
@@ -78,7 +85,7 @@ def repeated_spans(text: str, repeats: set[int], min_words: int = MIN_WORDS) ->
             if words == 0:
                 start = a
             end = b
-            words += form.count(" ") + 1
+            words += word_count(form)
         else:
             close()
             words = 0

@@ -44,6 +44,12 @@ def test_short_runs_stay():
     assert repeated_spans(f"{rest} x.", {0, 1}) == [(0, len(rest) + 3)]
 
 
+def test_ideographs_and_kana_count_singly():
+    passage = "我们在山谷里走了整整三天。\nその後で村に戻りました。"
+    assert repeated_spans(f"own words\n{passage}\nmore", {1, 2}) == [(10, 10 + len(passage))]
+    assert repeated_spans("是的。ünï çødé é", {0, 1}) == []
+
+
 PASSAGE = " ".join(f"Sentence {i} of a passage that many documents share." for i in range(8))
 
 
