@@ -2,8 +2,9 @@ import re
 
 import pytest
 
-from shelfline.llm.licenses import PHRASES, scan_licenses
-from shelfline.llm.q_licenses import op5_license_scan
+from shelfline.llm.licenses import COVERAGE, MERGE_GAP, PHRASES, scan_licenses, template_rows
+from shelfline.llm.licenses import TEXTS as FULL
+from shelfline.llm.q_licenses import ORACLES, op5_license_scan
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -81,3 +82,83 @@ def test_query(spark, sf):
     d = f"/root/testdata/sf{sf}"
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
     assert got(op5_license_scan(spark, d)) == {k: brute(t) for k, t in docs.items()}
+
+
+def plain_spans(text, rows):
+    """Verified spans of a text, by comparing every gram with every template's."""
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    templates = {}
+    for t, label, phrase, k, gram, at, grams, most in rows:
+        templates.setdefault(t, (label, phrase, k, grams, most, []))[5].append((at, gram))
+    out = []
+    for label, phrase, k, grams, most, own in templates.values():
+        votes = sorted((i - at, i, at) for at, gram in own for i in range(len(words) - k + 1) if words[i : i + k] == gram)
+        diagonals = sorted({d for d, _, _ in votes})
+        runs = []
+        for d in diagonals:
+            if runs and not phrase and d - runs[-1][-1] <= MERGE_GAP:
+                runs[-1].append(d)
+            else:
+                runs.append([d])
+        runs = [part for run in runs for part in ([run] if run[-1] - run[0] <= most else [[d] for d in run])]
+        for run in runs:
+            top, n = -1, 0
+            mine = sorted((i, at) for d, i, at in votes if d in run)
+            for _, at in mine:
+                if at > top:
+                    top, n = at, n + 1
+            if n == grams or (not phrase and n / grams >= COVERAGE):
+                out.append((mine[0][0], mine[-1][0] + k - 1, label, phrase, n / grams))
+    return sorted(out)
+
+
+MIT = next(iter(FULL))
+MORE = [
+    "released under x under the y the mit z mit license",
+    "released under the mit license " * 40,
+    "mit license released under the mit license under the mit",
+    MIT,
+    MIT.replace("without restriction", "with no restriction at all").replace("merge, ", ""),
+    " ".join(reversed(MIT.split())),
+    MIT[: len(MIT) // 2],
+    "\n".join(FULL),
+    "license mit the under released",
+    "gnu lesser general public license, gnu lesser, general public license",
+    "Licensed under CC BY-NC 4.0. Licensed under CC BY-SA 4.0.",
+]
+
+
+def test_spans_are_the_plain_ones(spark):
+    texts = [*TEXTS, *MORE, *FULL]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(3)
+    rows = template_rows()
+    got = {r["doc_id"]: [(s["first"], s["last"], s["label"], s["phrase"], s["share"]) for s in r["spans"]] for r in scan_licenses(df).collect()}
+    assert got == {i: plain_spans(t, rows) for i, t in enumerate(texts)}
+
+
+def test_drifting_votes_are_no_notice(spark):
+    df = spark.createDataFrame([(0, MORE[0]), (1, "released under the mit license"), (2, MIT), (3, MORE[4])], "doc_id int, text string")
+    rows = {r["doc_id"]: ({s["label"] for s in r["spans"]}, r["score"]) for r in scan_licenses(df).collect()}
+    assert rows[0] == ({"mit"}, 1.0) and rows[1] == ({"mit", "mit-notice"}, 1.0)
+    assert rows[2] == ({"mit-full", "mit-text"}, 1.0) and "mit-full" in rows[3][0]
+
+
+def test_null_ids_and_texts_of_one_id(spark):
+    pairs = [(None, "mit license"), (None, "apache license"), (7, "mit license"), (7, "cc by"), (7, "cc by"), (None, None)]
+    rows = scan_licenses(spark.createDataFrame(pairs, "doc_id int, text string")).collect()
+    assert sorted(((r["doc_id"], r["n_words"], [s["label"] for s in r["spans"]]) for r in rows), key=repr) == sorted(
+        ((k, len((t or "").split()), [PHRASES[t]] if t else []) for k, t in pairs), key=repr
+    )
+
+
+def test_sql(spark):
+    import duckdb
+
+    d = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{d}/documents.parquet'")
+    want = con.execute(ORACLES["op5_license_scan"])
+    names = [c[0] for c in want.description]
+    df = op5_license_scan(spark, d)
+    assert sorted(names) == sorted(df.columns)
+    assert sorted(tuple(r) for r in df.select(*names).collect()) == sorted(want.fetchall())
