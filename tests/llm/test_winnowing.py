@@ -1,10 +1,12 @@
+import bisect
 import hashlib
 import re
+import zlib
 
 from pyspark.sql import functions as F
 
-from shelfline.llm.q_winnowing import op9_winnowing
-from shelfline.llm.winnowing import K, W, edited_text, fingerprints, positions, units, winnow, with_successor
+from shelfline.llm.q_winnowing import ORACLES, op9_winnowing
+from shelfline.llm.winnowing import BASE, POSITION_BITS, PRIME, K, W, edited_text, fingerprints, hash_set, positions, range_of, units, winnow, with_successor
 
 
 def brute_positions(hashes, w=W):
@@ -85,3 +87,49 @@ def test_query(spark, sf_dir):
     long = [r for r in rows if r["n_chars"] > 400]
     assert sum(r["near_edited"] > 0.4 for r in long) > 0.9 * len(long) and sum(r["near_next"] < 0.1 for r in long) > 0.9 * len(long)
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_scripts_without_spaces_and_long_words(spark):
+    thai = "สวัสดีชาวโลก"
+    df = spark.createDataFrame([(thai,), ("日本語ab カ",), ("x" * 40,), ("a\x0bb\x85c",)], "t string")
+    assert [len(r[0]) for r in df.select(units(F.col("t"))).collect()] == [len(thai), 5, 3, 2]
+    text = "ราตรีสวัสดิ์" * 100
+    rows = [(1, text), (2, "นี่คือข้อความอื่น" * 100)]
+    near = spark.createDataFrame(rows, "doc_id int, text string")
+    cut = len(text) // 4
+    one = near.where("doc_id = 1").select(hash_set(winnow(F.col("text"))).alias("a"), hash_set(winnow(F.lit(text[:-cut] + rows[1][1][:cut]))).alias("b")).first()
+    assert len(set(one["a"]) & set(one["b"])) >= 0.4 * len(set(one["a"]) | set(one["b"]))
+
+
+def test_rolling_hash(spark):
+    """Grams are polynomials in their units' CRC-32."""
+    words = "a bc déf ghi 日".split()
+    row = spark.createDataFrame([(" ".join(words),)], "t string").select(winnow(F.col("t"), K, 1)).first()[0]
+    crcs = [zlib.crc32(w.encode()) for w in words]
+    want = []
+    for i in range(len(words) - K + 1):
+        h = crcs[i]
+        for c in crcs[i + 1 : i + K]:
+            h = (h * BASE + c) % PRIME
+        want.append((h << POSITION_BITS) + (1 << POSITION_BITS) - 1 - i)
+    assert row == want
+
+
+def test_ranges(spark):
+    cuts = sorted({(i * i * 7919) % 100_003 - 50_000 for i in range(1000)})
+    df = spark.createDataFrame([(k,) for k in [None, *range(-60_000, 60_000, 997), *cuts]], "k bigint")
+    for some in (cuts, cuts[:1], cuts[:5], []):
+        for r in df.select("k", range_of(F.col("k"), some).alias("r")).collect():
+            assert r["r"] == (None if r["k"] is None else bisect.bisect_right(some, r["k"]))
+
+
+def test_sql(spark, sf_dir):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    want = con.execute(ORACLES["op9_winnowing"])
+    names = [c[0] for c in want.description]
+    df = op9_winnowing(spark, sf_dir)
+    assert sorted(names) == sorted(df.columns)
+    assert sorted(map(tuple, df.select(*names).collect())) == sorted(want.fetchall())
