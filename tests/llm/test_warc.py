@@ -4,8 +4,10 @@ import zipfile
 
 import pytest
 
-from shelfline.llm.q_warc import op2_warc_zip
-from shelfline.llm.warc_zip import StoredZipWriter, archive_round_trip, find_members, parse_record, payload_digest, warc_record
+from shelfline.llm.q_warc import ORACLES, op2_warc_zip
+from shelfline.llm.warc_zip import (
+    StoredZipWriter, archive_records, archive_round_trip, find_members, index_line, indexed_places, open_folder, parse_record, payload_digest, walk, warc_record,
+)
 
 
 def expected(pages, min_bytes=0):
@@ -80,3 +82,89 @@ def test_empty(spark):
 def test_query(spark, sf_dir):
     pages = [(r["page_id"], r["html"]) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
     assert got(op2_warc_zip(spark, sf_dir)) == expected(pages)
+
+
+def archive(members):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+        for name, data in members.items():
+            z.writestr(name, data)
+    raw = out.getvalue()
+    return list(archive_records(lambda at, n: raw[at : at + n], len(raw)))
+
+
+def made(n):
+    body = f"payload {n}".encode()
+    return warc_record(n, f"http://x.y/{n}", body, payload_digest(body), None)
+
+
+INFO = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 3\r\n\r\na:b\r\n\r\n"
+
+
+def test_archives_of_others():
+    packed = [gzip.compress(x) for x in (INFO, made(1), made(2), made(3))]
+    plain = {"a/one.warc.gz": b"".join(packed), "two.warc": INFO + made(4) + made(5), "notes.txt": b"no records"}
+    assert sorted(r["page_id"] for r in archive(plain)) == [1, 2, 3, 4, 5]
+    at = [sum(map(len, packed[:i])) for i in range(5)]
+    lines = [f'y,x)/{i} 2024 {{"offset": "{at[i]}", "length": "{len(packed[i])}", "filename": "one.warc.gz"}}' for i in (3, 1)]
+    # what an index names is read by it alone, the rest is walked
+    assert sorted(r["page_id"] for r in archive(plain | {"any/where.cdxj": "\n".join(lines)})) == [1, 3, 4, 5]
+    foreign = made(7).replace(b"<urn:page:7>", b"<urn:uuid:0-0>").replace(b"WARC-Payload-Digest", b"X-Other")
+    assert [(r["page_id"], r["payload"]) for r in archive({"w.warc": foreign})] == [(None, b"payload 7")]
+    assert archive({}) == [] and archive({"w.warc": b""}) == []
+    long = made(8).replace(b"payload 8", b"payload 8" * 99).replace(b"Content-Length: 9", b"Content-Length: 891")
+    whole = INFO + made(1) + INFO
+    assert list(walk(lambda at, n: whole[at : at + n], len(whole), 7)) == [INFO[:-4], made(1)[:-4], INFO[:-4]] and long
+
+
+@pytest.mark.parametrize(
+    "bad",
+    [
+        {"w.warc": made(1)[:-30]},
+        {"w.warc": b"no record at all"},
+        {"w.warc": made(1).replace(b"Content-Length: ", b"Content-Size: ")},
+        {"w.warc.gz": gzip.compress(made(1))[:-12]},
+        {"w.warc.gz": b"\x1f\x8b" + bytes(40)},
+        {"w.warc": made(1), "i.cdxj": "k 2024 {"},
+        {"w.warc": made(1), "i.cdxj": 'k 2024 {"offset": 1}'},
+        {"w.warc": made(1), "i.cdxj": 'k 2024 {"offset": "0", "length": "99999"}'},
+        {"w.warc": made(1), "v.warc": made(2), "i.cdxj": 'k 2024 {"offset": "0", "length": "9", "filename": "other.warc"}'},
+        {"i.cdxj": 'k 2024 {"offset": "0", "length": "9"}'},
+    ],
+)
+def test_damage_is_a_value_error(bad):
+    with pytest.raises(ValueError):
+        archive(bad)
+
+
+def test_every_cut_and_flip_is_a_value_error_or_reads():
+    out = io.BytesIO()
+    z = StoredZipWriter(out)
+    for name, data in (("a.warc", made(1) + made(2)), ("i.cdxj", b'k 2024 {"offset": "0", "length": "%d"}' % len(made(1)))):
+        z.begin(name)
+        z.write(data)
+        z.end()
+    z.close()
+    raw = out.getvalue()
+    for i in range(0, len(raw), 3):
+        for bad in (raw[:i], raw[:i] + bytes([raw[i] ^ 0x55]) + raw[i + 1 :], raw[:i] + b"\xff" + raw[i + 1 :]):
+            try:
+                list(archive_records(lambda at, n, bad=bad: bad[max(at, 0) : max(at, 0) + n], len(bad)))
+            except ValueError:
+                pass
+
+
+def test_index_lines():
+    line = index_line("http://A.Example.com/P?q=1", "D", "revisit", 5, 9)
+    assert line.startswith('com,example,a)/p?q=1 20240101000000 {"url"') and indexed_places(line.encode(), ["archive/data.warc.gz"]) == [("archive/data.warc.gz", 5, 9)]
+    assert open_folder("file:///tmp")[1] == "/tmp"
+
+
+def test_sql(spark, sf_dir):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{sf_dir}/pages.parquet'")
+    want = con.execute(ORACLES["op2_warc_zip"])
+    names = [c[0] for c in want.description]
+    assert sorted(map(tuple, op2_warc_zip(spark, sf_dir).select(*names).collect()), key=repr) == sorted(want.fetchall(), key=repr)
