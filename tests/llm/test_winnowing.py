@@ -1,5 +1,6 @@
 import bisect
 import hashlib
+import random
 import re
 import zlib
 
@@ -93,8 +94,9 @@ def test_scripts_without_spaces_and_long_words(spark):
     thai = "สวัสดีชาวโลก"
     df = spark.createDataFrame([(thai,), ("日本語ab カ",), ("x" * 40,), ("a\x0bb\x85c",)], "t string")
     assert [len(r[0]) for r in df.select(units(F.col("t"))).collect()] == [len(thai), 5, 3, 2]
-    text = "ราตรีสวัสดิ์" * 100
-    rows = [(1, text), (2, "นี่คือข้อความอื่น" * 100)]
+    rng = random.Random(1)
+    text, other = ("".join(chr(rng.randrange(0x0E01, 0x0E2F)) for _ in range(1100)) for _ in range(2))
+    rows = [(1, text), (2, other)]
     near = spark.createDataFrame(rows, "doc_id int, text string")
     cut = len(text) // 4
     one = near.where("doc_id = 1").select(hash_set(winnow(F.col("text"))).alias("a"), hash_set(winnow(F.lit(text[:-cut] + rows[1][1][:cut]))).alias("b")).first()
