@@ -4,9 +4,12 @@ tables and small column helpers."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Used only where spark.checkpoint.dir is unset and the session is local.
 LOCAL_SHARED = "/tmp/checkpoints"
@@ -43,6 +46,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def named(name: str) -> Column:
+    """The column of exactly this name, whatever characters are in it."""
+    return F.col(quoted(name))
+
+
+def schema_of(df: DataFrame, names: Sequence[str], more: str = "") -> StructType:
+    """The fields ``names`` of ``df``, then those of a DDL string."""
+    return StructType([*(df.schema[n] for n in names), *(StructType.fromDDL(more).fields if more else ())])
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType) -> DataFrame:
+    """``df.mapInArrow``, which can't read columns whose names have dots or back-quotes."""
+    plain = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(schema)])
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, names=plain.names)
+
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(renamed, plain).toDF(*schema.names)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -18,13 +18,16 @@ import hashlib
 import io
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_arrow, named, schema_of
+
 #: Samples in a picture row that holds a text's bytes.
 WIDTH = 64
 #: Rows and columns of the tile from which the 64 difference bits come.
@@ -66,6 +69,19 @@ def encode_bmp(pixels: np.ndarray) -> bytes:
 # ---------------------------------------------------------------- decoders
 
 
+def _value_errors(decoder: Callable[[bytes], np.ndarray]) -> Callable[[bytes], np.ndarray]:
+    """Whatever a damaged picture does to a decoder, it is a ValueError."""
+
+    @wraps(decoder)
+    def run(data: bytes) -> np.ndarray:
+        try:
+            return decoder(data)
+        except (struct.error, OverflowError, IndexError) as e:
+            raise ValueError(f"damaged picture: {e}") from e
+
+    return run
+
+
 def _netpbm_fields(data: bytes, count: int) -> tuple[list[int], int]:
     """The header's numbers after the magic, and where the raster starts."""
     found, at = [], 2
@@ -85,6 +101,7 @@ def _netpbm_fields(data: bytes, count: int) -> tuple[list[int], int]:
     return found, at + 1
 
 
+@_value_errors
 def decode_netpbm(data: bytes) -> np.ndarray:
     """P1 to P6: (h, w) for bit and grey maps, (h, w, 3) for colour. Bits become
     0 (black) or 255; samples of two bytes become uint16."""
@@ -116,15 +133,27 @@ def decode_netpbm(data: bytes) -> np.ndarray:
         samples = np.frombuffer(data, kind_of, count=n, offset=at)
     if len(samples) < n:
         raise ValueError("Netpbm raster is cut short")
+    if n and not 0 <= int(samples.min()) <= int(samples.max()) <= top:
+        raise ValueError("Netpbm sample above its maximum")
     if bits:
         samples = (1 - samples.astype(np.uint8)) * np.uint8(255)
     samples = samples.astype(np.uint16 if top > 255 else np.uint8, copy=False)
     return samples.reshape((h, w, 3) if depth == 3 else (h, w))
 
 
+def _channel(values: np.ndarray, mask: int) -> np.ndarray:
+    """The masked bits of each number, as 0 to 255."""
+    shift = (mask & -mask).bit_length() - 1 if mask else 0
+    most = mask >> shift
+    if not mask or most & (most + 1):
+        raise ValueError("bad BMP colour mask")
+    return (((values & mask) >> shift) * 255 // most).astype(np.uint8)
+
+
+@_value_errors
 def decode_bmp(data: bytes) -> np.ndarray:
-    """Uncompressed BMP of 1, 4, 8, 24 or 32 bits: (h, w) where every palette
-    colour is grey, else (h, w, 3)."""
+    """Uncompressed BMP of 1, 4, 8, 16, 24 or 32 bits, with the colour masks of 16
+    and 32 bits: (h, w) where every palette colour is grey, else (h, w, 3)."""
     if data[:2] != b"BM" or len(data) < 30:
         raise ValueError("not BMP")
     start, head = struct.unpack_from("<I", data, 10)[0], struct.unpack_from("<I", data, 14)[0]
@@ -134,7 +163,7 @@ def decode_bmp(data: bytes) -> np.ndarray:
     else:
         w, h, _, bits, packing = struct.unpack_from("<iiHHI", data, 18)
         colours, entry = struct.unpack_from("<I", data, 46)[0], 4
-    if packing not in (0, 3) or (packing == 3 and bits != 32) or bits not in (1, 4, 8, 24, 32) or w < 1 or h == 0:
+    if packing not in (0, 3, 6) or (packing and bits not in (16, 32)) or bits not in (1, 4, 8, 16, 24, 32) or w < 1 or h == 0:
         raise ValueError("unsupported BMP")
     line = -(-w * bits // 32) * 4
     raw = np.frombuffer(data, np.uint8, count=min(line * abs(h), max(0, len(data) - start)), offset=min(start, len(data)))
@@ -143,6 +172,10 @@ def decode_bmp(data: bytes) -> np.ndarray:
     rows = raw.reshape(abs(h), line)
     if h > 0:
         rows = rows[::-1]
+    if packing or bits == 16:
+        masks = struct.unpack_from("<III", data, 54) if packing else (0x7C00, 0x03E0, 0x001F)
+        values = np.ascontiguousarray(rows[:, : w * bits // 8]).view("<u2" if bits == 16 else "<u4").astype(np.int64)
+        return np.stack([_channel(values, mask) for mask in masks], axis=2)
     if bits >= 24:
         return rows[:, : w * bits // 8].reshape(abs(h), w, bits // 8)[:, :, 2::-1].copy()
     if bits < 8:
@@ -209,10 +242,6 @@ def npy_tile(tile: np.ndarray) -> bytes:
 # ---------------------------------------------------------------- operators
 
 
-def _keys(df: DataFrame, keys: list[str]) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema)
-
-
 def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
@@ -230,8 +259,8 @@ def encode_text(df: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc
             columns = [*batch.columns[: len(keys)], pa.array([len(x) for x in data], pa.int64()), pa.array(media, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keys, "n_bytes", "media"])
 
-    data = df.select(*keys, F.encode(F.col(text), "UTF-8").alias("__data"))
-    return data.mapInArrow(run, f"{_keys(df, list(keys))}, n_bytes bigint, media binary")
+    data = df.select(*map(named, keys), F.encode(named(text), "UTF-8").alias("__data"))
+    return map_arrow(data, run, schema_of(df, keys, "n_bytes bigint, media binary"))
 
 
 FEATURES = (
@@ -260,7 +289,7 @@ def media_features(df: DataFrame, media: str = "media", keys: tuple[str, ...] =
     """Key columns and :data:`FEATURES` from a binary column of pictures: what the
     decoded samples hold, the stored form's digest, the area-resized tile as an
     NPY file and its difference hash."""
-    schema = f"{_keys(df, list(keys))}, {FEATURES}"
+    schema = schema_of(df, keys, FEATURES)
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.string()]
     names = [x.split()[0] for x in FEATURES.split(", ")]
 
@@ -270,4 +299,4 @@ def media_features(df: DataFrame, media: str = "media", keys: tuple[str, ...] =
             columns = [pa.array(list(x), kind) for x, kind in zip(zip(*found, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *columns], names=[*keys, *names])
 
-    return df.select(*keys, media).mapInArrow(run, schema)
+    return map_arrow(df.select(*map(named, keys), named(media)), run, schema)

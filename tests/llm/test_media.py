@@ -77,3 +77,65 @@ def test_query(spark, sf_dir):
     for r in rows:
         data = docs[r["doc_id"]].encode()
         assert r["n_bytes"] == len(data) and r["payload_sha256"] == hashlib.sha256(padded(data)).hexdigest()
+
+
+def bmp(masks, values, bits=32, packing=3):
+    """A BMP of one row with colour masks."""
+    import struct
+
+    body = b"".join(v.to_bytes(bits // 8, "little") for v in values)
+    body += bytes(-len(body) % 4)
+    start = 54 + 4 * len(masks)
+    return struct.pack("<2sIHHI", b"BM", start + len(body), 0, 0, start) + struct.pack("<IiiHHIIiiII", 40, len(values), 1, 1, bits, packing, len(body), 0, 0, 0, 0) + struct.pack(f"<{len(masks)}I", *masks) + body
+
+
+def test_colour_masks():
+    assert decode(bmp((0xFF, 0xFF00, 0xFF0000), [0x030201])).tolist() == [[[1, 2, 3]]]
+    assert decode(bmp((0x3FF00000, 0x000FFC00, 0x000003FF), [0x3FF003FF])).tolist() == [[[255, 0, 255]]]
+    assert decode(bmp((0xF800, 0x07E0, 0x001F), [0xF800, 0x07E0], 16)).tolist() == [[[255, 0, 0], [0, 255, 0]]]
+    assert decode(bmp((), [0x7C00, 0x001F], 16, 0)).tolist() == [[[255, 0, 0], [0, 0, 255]]]
+    with pytest.raises(ValueError):
+        decode(bmp((0xFF0F, 0, 0xFF), [1]))
+
+
+@pytest.mark.parametrize("bad", [b"BM" + bytes(32), b"BM" + b"\x28" * 40, b"P2 1 1 255 99999999999999999999999", b"P2 1 1 255 300", b"P2 1 1 255 -3", b"P5 1 1 9 \x0a", b"P5 99999999999999999999 9 255 "])
+def test_damage_is_a_value_error(spark, bad):
+    with pytest.raises(ValueError):
+        decode(bad)
+    row = media_features(spark.createDataFrame([(1, bad), (2, encode_pgm(bytes(64)))], "doc_id int, media binary")).orderBy("doc_id").collect()
+    assert row[0]["error"] and row[0]["dhash"] is None and row[1]["error"] is None
+
+
+def test_cut_and_flipped_pictures():
+    rng = np.random.default_rng(4)
+    for whole in (bmp((0xFF, 0xFF00, 0xFF0000), [0x030201] * 5), encode_bmp(rng.integers(0, 256, (3, 5), dtype=np.uint8)), b"P3\n2 1 255 1 2 3 4 5 6", encode_pgm(bytes(128)), b"P4\n9 1\n\xff\x80"):
+        for i in range(len(whole)):
+            for bad in (whole[:i], whole[:i] + bytes([whole[i] ^ 0x81]) + whole[i + 1 :]):
+                try:
+                    assert decode(bad).size
+                except ValueError:
+                    pass
+
+
+def test_whole_query(spark, sf_dir):
+    """Every column against a plain computation."""
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    for r in op7_media_columns(spark, sf_dir).collect():
+        data = docs[r["doc_id"]].encode()
+        payload = data + bytes(max(64, -(-len(data) // 64) * 64) - len(data))
+        media = b"P5\n64 %d\n255\n" % (len(payload) // 64) + payload
+        assert (r["payload_bytes"], r["tail_crc32"]) == (len(payload), zlib.crc32(payload[-64:]))
+        assert (r["media_bytes"], r["media_sha256"]) == (len(media), hashlib.sha256(media).hexdigest())
+        p = np.frombuffer(payload, np.uint8).reshape(-1, 64)
+        h = len(p)
+        rows = np.stack([np.repeat(p, 8, axis=0)[i * h : (i + 1) * h].mean(axis=0) for i in range(8)])  # each pixel row as 8 equal parts
+        tile = np.stack([np.repeat(rows, 9, axis=1)[:, j * 64 : (j + 1) * 64].mean(axis=1) for j in range(9)], axis=1)
+        close = np.isclose(tile[:, :-1], tile[:, 1:])
+        bits = [int(x) for x in f"{int(r['feature'], 16):064b}"]
+        assert all(b == w or c for b, w, c in zip(bits, (tile[:, :-1] < tile[:, 1:]).reshape(-1), close.reshape(-1), strict=True))
+
+
+def test_odd_names(spark):
+    df = spark.createDataFrame([(1, "abc", 2)], "`do``c.id` int, `te.xt` string, n int")
+    row = media_features(encode_text(df, "te.xt", ("do`c.id",)), "media", ("do`c.id",)).first()
+    assert row["do`c.id"] == 1 and row["error"] is None
