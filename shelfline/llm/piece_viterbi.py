@@ -4,14 +4,16 @@ output links and relaxes the best score.
 
 The vocabulary is a SentencePiece model file; its path is a parameter. Scores are
 log-probabilities: the segmentation with the greatest sum wins, and of equal
-ones the one whose last piece is longest. A unigram model stores such scores; a
-merge model stores negative merge ranks, which become log-probabilities of a
-rank-frequency law, -log(2 + rank).
+ones the one whose last piece is longest. A unigram model stores such scores, and
+its ids are the library's. A merge model stores negative merge ranks, which here
+become log-probabilities of a rank-frequency law, -log(2 + rank): its ids are those
+of this law, not of the merges. Texts of a model with a normaliser of its own go
+through the library's normaliser first, so they decode to the normalised text.
 
 Defined results
     null or empty text    no ids, decodes to the empty text
-    characters without a piece  their UTF-8 bytes as byte pieces, or the unknown
-                          id where the vocabulary has no byte pieces
+    characters without a piece  their UTF-8 bytes as byte pieces, or one unknown id
+                          for each run of them where the vocabulary lacks byte pieces
     null ids              null text
     invalid UTF-8 from byte pieces  U+FFFD for each bad sequence
 Rows are handled one by one; repeated rows, ties, empty tables and other
@@ -23,13 +25,14 @@ from __future__ import annotations
 import math
 import re
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from .common import map_arrow, named, quoted, schema_of
 
 SPACE = "▁"
 #: Words of at most this length are cached, and so many of them.
@@ -52,22 +55,26 @@ def rank_score(stored: float) -> float:
 class Vocabulary:
     """Pieces, scores and kinds of a SentencePiece model file."""
 
-    def __init__(self, pieces: list[tuple[str, float, int]], dummy_prefix: bool = True, byte_fallback: bool = True) -> None:
+    def __init__(self, pieces: list[tuple[str, float, int]], dummy_prefix: bool = True, byte_fallback: bool = True, normalize: Callable[[str], str] | None = None) -> None:
         self.pieces, self.dummy_prefix = pieces, dummy_prefix
+        #: From text to its normalised form with SPACE for spaces; None for the identity.
+        self.normalize = normalize
         self.unknown = next((i for i, x in enumerate(pieces) if x[2] == UNKNOWN), 0)
         self.byte_ids = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE} if byte_fallback else {}
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
-        from sentencepiece import sentencepiece_model_pb2
+        from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 
         model = sentencepiece_model_pb2.ModelProto()
         with open(path, "rb") as f:
             model.ParseFromString(f.read())
-        if model.normalizer_spec.name != "identity" or model.normalizer_spec.remove_extra_whitespaces or model.trainer_spec.treat_whitespace_as_suffix:
-            raise ValueError("only vocabularies with identity normalisation are supported")
+        if model.trainer_spec.treat_whitespace_as_suffix or not model.normalizer_spec.escape_whitespaces:
+            raise ValueError("only vocabularies with marks in front of words are supported")
+        plain = model.normalizer_spec.name == "identity" and not model.normalizer_spec.remove_extra_whitespaces and not model.denormalizer_spec.precompiled_charsmap
+        normalize = None if plain else SentencePieceProcessor(model_file=path).normalize
         score = rank_score if model.trainer_spec.model_type == model.trainer_spec.BPE else float
-        return cls([(x.piece, score(x.score), x.type) for x in model.pieces], model.normalizer_spec.add_dummy_prefix, model.trainer_spec.byte_fallback)
+        return cls([(x.piece, score(x.score), x.type) for x in model.pieces], model.normalizer_spec.add_dummy_prefix, model.trainer_spec.byte_fallback, normalize)
 
 
 class PieceAutomaton:
@@ -145,16 +152,22 @@ class PieceAutomaton:
             end -= size
             if i >= 0:
                 ids.append(i)
-            else:
-                table = self.vocabulary.byte_ids
-                ids.extend([table[b] for b in reversed(text[end].encode("utf-8", "replace"))] if table else [self.vocabulary.unknown])
+                continue
+            table = self.vocabulary.byte_ids
+            data = text[end].encode("utf-8", "replace")
+            ids.extend([table[b] for b in reversed(data)] if all(b in table for b in data) else [self.vocabulary.unknown])
         return ids[::-1]
 
     def encode(self, text: str) -> bytes:
         """Ids as packed 32-bit words."""
         if not text:
             return b""
-        marked = (SPACE if self.vocabulary.dummy_prefix else "") + text.replace(" ", SPACE)
+        if self.vocabulary.normalize:
+            marked = self.vocabulary.normalize(text)
+            if not marked:
+                return b""
+        else:
+            marked = (SPACE if self.vocabulary.dummy_prefix else "") + text.replace(" ", SPACE)
         if not self.by_word:
             return np.array(self.segment(marked), "<i4").tobytes()
         words = marked.split(SPACE)
@@ -182,6 +195,17 @@ class PieceAutomaton:
         return b"".join(out)
 
 
+    def encode_joined(self, text: str) -> bytes:
+        """Ids as the library gives them: neighbouring unknown characters are one."""
+        packed = self.encode(text)
+        if self.vocabulary.byte_ids:
+            return packed
+        ids = np.frombuffer(packed, "<i4")
+        again = np.zeros(len(ids), dtype=bool)
+        again[1:] = (ids[1:] == self.vocabulary.unknown) & (ids[:-1] == self.vocabulary.unknown)
+        return ids[~again].tobytes()
+
+
 _LOADED: dict[str, PieceAutomaton] = {}
 
 
@@ -216,7 +240,7 @@ def encode_pieces(df: DataFrame, model_path: str, text: str = "text", keep: tupl
     n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = automaton(model_path).encode
+        encode = automaton(model_path).encode_joined
         for big in batches:
             for at in range(0, big.num_rows, 500):
                 batch = big.slice(at, 500)
@@ -225,8 +249,7 @@ def encode_pieces(df: DataFrame, model_path: str, text: str = "text", keep: tupl
                 lists = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(packed), "<i4")))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:n], lists], names=[*keep, ids])
 
-    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.select(*keep).schema)
-    return df.select(*keep, F.col(text)).mapInArrow(run, f"{kept}`{ids}` array<int>")
+    return map_arrow(df.select(*map(named, keep), named(text)), run, schema_of(df, keep, f"{quoted(ids)} array<int>"))
 
 
 def decode_pieces(df: DataFrame, model_path: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",), text: str = "decoded") -> DataFrame:
@@ -241,5 +264,4 @@ def decode_pieces(df: DataFrame, model_path: str, ids: str = "ids", keep: tuple[
                 texts = decode_lists(batch.column(n).cast(pa.list_(pa.int32())), vocabulary)
                 yield pa.RecordBatch.from_arrays([*batch.columns[:n], texts], names=[*keep, text])
 
-    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.select(*keep).schema)
-    return df.select(*keep, F.col(ids)).mapInArrow(run, f"{kept}`{text}` string")
+    return map_arrow(df.select(*map(named, keep), named(ids)), run, schema_of(df, keep, f"{quoted(text)} string"))

@@ -12,7 +12,8 @@ from .q_packing import public_tokenizer
 
 def op3_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text to ids and back: how many ids, their hash, and whether the
-    decoded text is the text."""
+    decoded text is the text. The installed vocabulary is a merge model, so its
+    scores, and with them the ids, are those of the rank-frequency law."""
     path = public_tokenizer("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
     ids = encode_pieces(docs, path, "text", ("doc_id", "text_hash"))

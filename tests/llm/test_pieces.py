@@ -75,3 +75,62 @@ def test_odd_rows(spark, odd, none, clashing):
 def test_query(spark, sf_dir):
     rows = op3_piece_viterbi(spark, sf_dir).collect()
     assert rows and all(r["round_trip"] for r in rows)
+
+
+@pytest.mark.parametrize(("prefix", "strip"), [(True, False), (True, True), (False, False), (False, True)])
+def test_ids_of_unigram_models(spark, tmp_path, prefix, strip):
+    """A made-up unigram model without byte pieces gives the library's ids, unknown
+    runs included, with and without a normaliser that strips spaces."""
+    rng = random.Random(9)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randrange(2, 8))) for _ in range(120)]
+    model = sentencepiece_model_pb2.ModelProto()
+    model.trainer_spec.model_type = model.trainer_spec.UNIGRAM
+    model.normalizer_spec.name = "identity"
+    model.normalizer_spec.add_dummy_prefix, model.normalizer_spec.remove_extra_whitespaces = prefix, strip
+    names = {"▁", *"etaoinshrdlu", *("▁" + w for w in words[:60]), *(w[:3] for w in words)}
+    for name, kind in [("<unk>", UNKNOWN), ("<s>", 3), ("</s>", 3), *((n, NORMAL) for n in sorted(names))]:
+        model.pieces.add(piece=name, score=-rng.random() * 9 if kind == NORMAL else 0.0, type=kind)
+    path = f"{tmp_path}/made.model"
+    with open(path, "wb") as f:
+        f.write(model.SerializeToString())
+    corpus = [" ".join(rng.choices(words, k=12)) for _ in range(40)]
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = [*corpus[:40], "日本語 " + corpus[0], "日本 語x日 本", "QQ qq", "  two  spaces ", "", " ", "ＡＢＣ etaoin", "日", "e日本aét"]
+    rows = encode_pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), path).collect()
+    mine = {r["doc_id"]: list(r["ids"]) for r in rows}
+
+    def total_of(ids):
+        return sum(library.get_score(i) for i in ids)
+
+    for i, text in enumerate(texts):
+        theirs = library.encode(text)
+        assert mine[i] == theirs or (len([x for x in mine[i] if x == 0]) == len([x for x in theirs if x == 0]) and abs(total_of(mine[i]) - total_of(theirs)) < 1e-4), text
+    back = decode_pieces(spark.createDataFrame([(i, x) for i, x in mine.items()], "doc_id int, ids array<int>"), path).collect()
+    assert all(r["decoded"] == library.decode(mine[r["doc_id"]]) for r in back)
+
+
+def test_query_is_the_automaton_s(spark, sf_dir):
+    """The whole query against a plain dynamic program over all segmentations."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    rows = {r["doc_id"]: r for r in op3_piece_viterbi(spark, sf_dir).collect()}
+    vocabulary = automaton(PATH).vocabulary
+    scores = {p: s for p, s, kind in vocabulary.pieces if kind == NORMAL}
+    longest = max(map(len, scores))
+    unknown = automaton(PATH).unknown_score
+    assert set(rows) == {r["doc_id"] for r in docs}
+    for doc in sorted(docs, key=lambda r: len(r["text"]))[:40]:
+        marked = "▁" + doc["text"].replace(" ", "▁")
+        best = [(0.0, 0)] + [(float("-inf"), 0)] * len(marked)
+        for end in range(1, len(marked) + 1):
+            for start in range(max(0, end - longest), end):
+                if marked[start:end] in scores:
+                    best[end] = max(best[end], (best[start][0] + scores[marked[start:end]], best[start][1] + 1))
+            if marked[end - 1] not in scores:
+                best[end] = max(best[end], (best[end - 1][0] + unknown, best[end - 1][1] + len(marked[end - 1].encode())))
+        row = rows[doc["doc_id"]]
+        assert row["n_chars"] == len(doc["text"]) and row["round_trip"]
+        ids = np.frombuffer(automaton(PATH).encode(doc["text"]), "<i4").tolist()
+        assert row["n_pieces"] == len(ids)
+        own = sum(vocabulary.pieces[i][1] for i in ids if vocabulary.pieces[i][2] != BYTE)
+        left = best[-1][0] - unknown * sum(c not in scores for c in marked)
+        assert abs(own - left) < 1e-6
