@@ -3,7 +3,8 @@
 The plan is made over a histogram of piece lengths, never over documents: at
 most ``limit`` counts come to the driver, best-fit in falling length runs over
 them, and gives intervals of ranks. A document then takes its slot by its rank
-within its length.
+within its length. A piece of ``limit`` tokens fills a sequence of its own, so it
+needs no rank and is never sorted.
 
 Defined results
     null or empty text  one piece that holds the end token alone
@@ -29,15 +30,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import materialize
+from .common import materialize, named
 
 LIMIT = 1024
 END_ID = 2
 #: Words whose ids a worker keeps; when it is reached the cache starts anew.
 CACHE_WORDS = 500_000
-#: Buckets among which the rows of one length are ranked.
-RANK_BUCKETS = 64
+#: Rows of one length that are ranked together, about: the rows of a length are dealt to as many buckets as that takes.
+RANK_ROWS = 100_000
 
 
 # ---------------------------------------------------------------- tokenising
@@ -162,7 +164,7 @@ def token_pieces(
                 yield pa.RecordBatch.from_arrays(columns, names=["key", "piece", "start", "length", "ids_crc32", "ids"][: len(columns)])
 
     schema = f"key {kind.simpleString()}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
-    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return df.select(named(key).alias("key"), named(text).alias("text")).mapInArrow(run, schema)
 
 
 # ---------------------------------------------------------------- planning
@@ -227,43 +229,55 @@ def plan_slots(counts: dict[int, int], limit: int = LIMIT) -> tuple[list[tuple[i
 def pack(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces (key, piece, length, ...).
 
-    Ranks come from two levels: rows of one length are dealt to hash buckets,
-    ranked inside each bucket, and shifted by the counts of the buckets before.
-    So one length that a third of all pieces have is still sorted by many tasks.
+    Full pieces take sequences of their own, with negative numbers. Of the others
+    ranks come from two levels: rows of one length are dealt to hash buckets, ranked
+    inside each bucket, and shifted by the counts of the buckets before. A length has
+    as many buckets as its count asks for, so one that a third of all pieces have is
+    sorted by many tasks, at every size.
     """
     spark = pieces.sparkSession
-    pieces = pieces.withColumn("__bucket", F.pmod(F.xxhash64("key", "piece", "ids_crc32"), F.lit(RANK_BUCKETS)).cast("int"))
-    counted = pieces.groupBy("length", "__bucket").count().collect()  # at most limit x RANK_BUCKETS rows
-    totals: dict[int, int] = {}
+    names = pieces.columns
+    full = pieces.where(F.col("length") == limit).withColumns({"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("bigint")})
+    rest = pieces.where(F.col("length") != limit)
+    totals = {r["length"]: r["count"] for r in rest.groupBy("length").count().collect()}  # fewer than limit rows
+    shares = [1] * (limit + 1)
+    for length, n in totals.items():
+        shares[length] = -(-n // RANK_ROWS)
+    # one folded literal: buckets of each length
+    buckets = F.split(F.lit(",".join(map(str, shares))), ",").cast("array<int>")
+    rest = rest.withColumn("__bucket", F.pmod(F.xxhash64("key", "piece", "ids_crc32"), F.get(buckets, F.col("length").cast("int"))).cast("int"))
     shift: dict[tuple[int, int], int] = {}
-    for length, bucket, n in sorted((r["length"], r["__bucket"], r["count"]) for r in counted):
-        shift[length, bucket] = totals.get(length, 0)
-        totals[length] = shift[length, bucket] + n
+    if max(shares) > 1:
+        at = dict.fromkeys(totals, 0)
+        counted = rest.groupBy("length", "__bucket").count().collect()  # limit rows, and one more for every RANK_ROWS pieces
+        for length, bucket, n in sorted((r["length"], r["__bucket"], r["count"]) for r in counted):
+            shift[length, bucket] = at[length]
+            at[length] += n
     slots, _ = plan_slots(totals, limit)
     slots.sort()
-    shifts = np.zeros((limit + 1, RANK_BUCKETS), dtype=np.int64)
+    first = np.cumsum([0, *shares])  # a length's buckets stand side by side
+    shifts = np.zeros(first[-1], dtype=np.int64)
     for (length, bucket), n in shift.items():
-        shifts[length, bucket] = n
+        shifts[first[length] + bucket] = n
     table = np.array(slots, dtype=np.int64).reshape(-1, 5)
-    plan = spark.sparkContext.broadcast((shifts, table))  # bounded by the limit, whatever the rows
+    plan = spark.sparkContext.broadcast((first, shifts, table))  # bounded by the limit, but for one number for every RANK_ROWS pieces
     within = Window.partitionBy("length", "__bucket").orderBy("key", "piece", "ids_crc32")
-    ranked = pieces.withColumn("__rank", F.row_number().over(within).cast("bigint") - 1)
-    names = [c for c in pieces.columns if c != "__bucket"]
+    ranked = rest.withColumn("__rank", F.row_number().over(within).cast("bigint") - 1)
     at = {c: i for i, c in enumerate(ranked.columns)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shifts, table = plan.value
+        first, shifts, table = plan.value
         scale = int(table[:, 1].max()) + 2 if len(table) else 2
         begins = table[:, 0] * scale + table[:, 1]
         for batch in batches:
             length, bucket, rank = (batch.column(at[c]).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("length", "__bucket", "__rank"))
-            rank = rank + shifts[length, bucket]
+            rank = rank + shifts[first[length] + bucket]
             slot = table[np.searchsorted(begins, length * scale + np.minimum(rank, scale - 1), side="right") - 1]
             columns = [batch.column(at[c]) for c in names] + [pa.array(slot[:, 3] + rank - slot[:, 1]), pa.array(slot[:, 4])]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "sequence_id", "offset"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.drop("__bucket").schema)
-    return ranked.mapInArrow(run, f"{schema}, sequence_id bigint, offset bigint")
+    schema = StructType([*pieces.schema, StructField("sequence_id", LongType()), StructField("offset", LongType())])
+    return ranked.mapInArrow(run, schema).unionByName(full)
 
 
 def pack_documents(df: DataFrame, tokenizer_path: str, text: str = "text", key: str = "doc_id", limit: int = LIMIT, end_id: int = END_ID) -> DataFrame:

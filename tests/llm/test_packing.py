@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from shelfline.llm import packing
 from shelfline.llm.packing import LIMIT, WordTokens, pack_documents, plan_slots, token_pieces
 from shelfline.llm.q_packing import op8_best_fit_packing, public_tokenizer
 
@@ -107,3 +108,16 @@ def test_query(spark, sf_dir, tokenizer):
     check(rows, texts, tokenizer)
     total = sum(r["length"] for r in rows)
     assert len({r["sequence_id"] for r in rows}) <= 1.02 * total / LIMIT + 1
+
+
+def test_full_pieces_and_many_buckets(spark, monkeypatch, tokenizer):
+    """Full pieces have sequences of their own; ranks hold over any number of buckets."""
+    monkeypatch.setattr(packing, "RANK_ROWS", 3)
+    texts = {i: ["word " * (2600 if i % 7 == 0 else 5 + i % 3)] for i in range(120)}
+    df = spark.createDataFrame([(k, t[0]) for k, t in texts.items()], "doc_id bigint, text string").repartition(5)
+    rows = pack_documents(df, public_tokenizer()).collect()
+    check(rows, texts, tokenizer)
+    full = [r for r in rows if r["length"] == LIMIT]
+    assert full and len({r["sequence_id"] for r in full}) == len(full) and all(r["sequence_id"] < 0 and r["offset"] == 0 for r in full)
+    lengths = [r["length"] for r in rows]
+    assert len({r["sequence_id"] for r in rows}) <= best_fit(lengths, LIMIT) + 1
