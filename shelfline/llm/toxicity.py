@@ -4,17 +4,24 @@ A text's terms are its distinct lower-cased words and the first letters of each
 word, hashed to 32 bits. The machine scores them as
     bias + sum w_i + sum_{i<j} <v_i, v_j>
 so that two terms together can tell more than each alone. It is fitted on the
-driver on a bounded sample of labelled rows (:data:`MAX_TRAIN_ROWS`, those with
-the least hash of their id) over the terms that differ most between the classes
-(:data:`MAX_FEATURES`), so its size does not depend on the corpus. Scoring reads
-every text whole and does not shuffle.
+driver on a bounded sample of labelled documents (:data:`MAX_TRAIN_ROWS`, those
+with the least hash of their id; of an id's texts the one with the least hash).
+Every term of :data:`MIN_ROWS` training texts or more has a weight and factors; of
+more than :data:`MAX_FEATURES` such terms those in the most texts have. A term whose
+own rate doesn't stand out pays for its weight and its factors (:data:`PENALTY`,
+proximal steps), so that it keeps them only if pairs with others earn them; those
+that have nothing left after :data:`TRIAL` epochs leave the machine.
+Scoring reads every text whole and does not shuffle.
 
 Defined results
     null or empty text   the score of the bias alone
-    no labelled rows, or one class only   the smoothed share of toxic rows
+    no labelled rows, or one class only   the smoothed share of toxic rows; as
+                         nothing was learned, drop_toxic drops nothing then
     several labels of one document   toxic if any says so; null labels don't count
-    repeated rows        scored alike; a repeated id trains once for each row
+    repeated rows        scored alike; an id trains once, however many rows it has
     null ids             scored, never trained on
+    empty table          no rows
+Other columns pass through; one named like the score is replaced by it.
 """
 
 from __future__ import annotations
@@ -29,15 +36,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled rows from which the machine learns, at most.
+from .common import free_name, map_arrow, materialize, named, quoted, schema_of
+
+#: Labelled documents from which the machine learns, at most.
 MAX_TRAIN_ROWS = 12_000
 #: Terms of all training rows together, at most; where rows are longer, fewer rows are learned from, each with all of its terms.
 MAX_TRAIN_TERMS = 20_000_000
 #: Terms with parameters of their own, at most.
-MAX_FEATURES = 20_000
-#: A term needs so many training rows and so large a difference, in standard deviations.
-MIN_ROWS, MIN_Z = 3, 3.0
-FACTORS, EPOCHS, RATE, DECAY = 8, 30, 0.05, 1e-4
+MAX_FEATURES = 1 << 17
+#: A term has parameters if it stands in so many training rows; it pays no penalty if its rate is so many deviations from all rows'.
+MIN_ROWS, MIN_Z = 10, 3.5
+#: Of many training rows it needs a share; terms that stand out need fewer rows.
+MIN_SHARE, MIN_ROWS_STRONG = 1 / 400, 3
+PENALTY, TRIAL = 1e-2, 3
+FACTORS, RATE, DECAY, SPREAD = 8, 0.05, 1e-4, 0.05
+#: About so many steps, but within these numbers of epochs.
+STEPS, EPOCHS = 1_500, (10, 30)
+#: Training rows of a step.
+BATCH = 64
 PREFIXES = (3, 5)
 WORD = re.compile(r"[^\W\d_]+")
 _CACHE_WORDS = 120_000
@@ -52,9 +68,12 @@ def held_out(key: Column) -> Column:
 
 
 class Terms:
-    """Hashed terms of texts, with a bounded cache of words for the worker process."""
+    """Hashed terms of texts, or with ``index`` the numbers of those terms that have
+    one, with a bounded cache of words."""
 
-    cache: dict[str, tuple[int, ...]] = {}
+    def __init__(self, index: dict[int, int] | None = None) -> None:
+        self.index = index
+        self.cache: dict[str, tuple[int, ...]] = {}
 
     @staticmethod
     def of_word(word: str) -> tuple[int, ...]:
@@ -69,7 +88,10 @@ class Terms:
         for word in set(WORD.findall((text or "").lower())):
             terms = cache.get(word)
             if terms is None:
-                terms = cache[word] = self.of_word(word)
+                terms = self.of_word(word)
+                if self.index is not None:
+                    terms = tuple(self.index[t] for t in terms if t in self.index)
+                cache[word] = terms
             found.update(terms)
         return found
 
@@ -79,12 +101,14 @@ class Terms:
 
 @dataclass
 class FactorizationMachine:
-    """Weights of the terms in ``index``; terms outside it do not count."""
+    """Weights of the terms in ``index``; terms outside it do not count. Not
+    ``learned`` means that no rows of both classes were there to learn from."""
 
     index: dict[int, int] = field(default_factory=dict)
     bias: float = 0.0
     w: np.ndarray = field(default_factory=lambda: np.zeros(0))
     v: np.ndarray = field(default_factory=lambda: np.zeros((0, FACTORS)))
+    learned: bool = False
 
     def score(self, rows: list[list[int]]) -> np.ndarray:
         """Probabilities of rows of feature numbers."""
@@ -100,32 +124,46 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(out, -40, 40)))
 
 
-def select_terms(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """Terms whose share of toxic rows differs from all rows' by MIN_Z or more."""
-    terms, at = np.unique(np.concatenate(rows), return_inverse=True)
+def candidate_terms(rows: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms with parameters, and which of them stand out by themselves."""
+    terms, at, n = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
-    n = np.bincount(at, minlength=len(terms))
     hits = np.bincount(at, weights=y[owner], minlength=len(terms))
     p = y.mean()
-    z = (hits - n * p) / np.sqrt(n * p * (1 - p))
-    z[n < MIN_ROWS] = 0
-    best = np.argsort(-np.abs(z), kind="stable")[:MAX_FEATURES]
-    return terms[best[np.abs(z[best]) >= MIN_Z]]
+    strong = np.abs(hits - n * p) >= MIN_Z * np.sqrt(n * p * (1 - p))
+    order = np.argsort(-n, kind="stable")
+    order = order[n[order] >= np.where(strong[order], MIN_ROWS_STRONG, max(MIN_ROWS, len(rows) * MIN_SHARE))][:MAX_FEATURES]
+    return terms[order], strong[order]
+
+
+class Step:
+    """A mini-batch, whose rows never change: the features it uses and where its
+    rows have them. ``matrix`` is rows by used features, of one batch at a time."""
+
+    def __init__(self, rows: list[np.ndarray], y: np.ndarray) -> None:
+        self.y = y.astype(np.float32)
+        self.owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in rows])
+        self.used, place = np.unique(np.concatenate(rows), return_inverse=True)
+        self.place = place.astype(np.int32)
+
+    def matrix(self) -> np.ndarray:
+        out = np.zeros((len(self.y), len(self.used)), np.float32)
+        out[self.owner, self.place] = 1
+        return out
 
 
 def fit(rows: list[np.ndarray], labels: list[int], seed: int = 7) -> FactorizationMachine:
     """Logistic loss by AdaGrad over mini-batches; the same rows give the same machine."""
     y = np.array(labels, dtype=float)
     share = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.5
-    machine = FactorizationMachine(bias=float(np.log(share / (1 - share))))
-    if not 0 < y.sum() < len(y) or not sum(map(len, rows)):
+    machine = FactorizationMachine(bias=float(np.log(share / (1 - share))), learned=bool(0 < y.sum() < len(y)))
+    if not machine.learned or not sum(map(len, rows)):
         return machine
-    chosen = select_terms(rows, y)
+    chosen, strong = candidate_terms(rows, y)
     if not len(chosen):
         return machine
     rng = np.random.default_rng(seed)
     k = len(chosen)
-    machine.index = {int(t): i for i, t in enumerate(chosen)}
     order = np.argsort(chosen)
     ranked = chosen[order]
 
@@ -133,32 +171,42 @@ def fit(rows: list[np.ndarray], labels: list[int], seed: int = 7) -> Factorizati
         at = np.minimum(np.searchsorted(ranked, row), k - 1)
         return order[at[ranked[at] == row]]
 
+    parts = np.array_split(rng.permutation(len(rows)), max(1, len(rows) // BATCH))
     data = [numbers(x) for x in rows]
-    machine.w = np.zeros(k)
-    machine.v = rng.normal(0, 0.01, (k, FACTORS))
-    gw, gv, gb = np.full(k, 1e-2), np.full((k, FACTORS), 1e-2), 1e-2
-    for _ in range(EPOCHS):
-        for part in np.array_split(rng.permutation(len(data)), max(1, len(data) // 64)):
-            batch = [data[i] for i in part]
-            sizes = np.array([len(x) for x in batch])
-            error = machine.score(batch) - y[part]
-            flat = np.concatenate(batch)
-            gradient_b = error.mean()
+    steps = [Step([data[i] for i in part], y[part]) for part in parts]
+    # single precision halves what the sums move
+    w, v = np.zeros(k, np.float32), rng.normal(0, SPREAD, (k, FACTORS)).astype(np.float32)
+    gw, gv, gb = np.full(k, 1e-2, np.float32), np.full((k, FACTORS), 1e-2, np.float32), 1e-2
+    price = np.where(strong, 0.0, PENALTY).astype(np.float32)
+    for epoch in range(min(EPOCHS[1], max(EPOCHS[0], -(-STEPS // len(steps))))):
+        if epoch == TRIAL:
+            alive = strong | (w != 0) | v.any(axis=1)
+            data = [x[alive[x]] for x in data]
+            steps = [Step([data[i] for i in part], y[part]) for part in parts]
+        for i in rng.permutation(len(steps)):
+            step = steps[i]
+            n, used, x = len(step.y), step.used, step.matrix()
+            own_w, own_v = w[used], v[used]
+            sums = x @ own_v
+            out = machine.bias + x @ (own_w - (own_v**2).sum(axis=1) / 2) + (sums**2).sum(axis=1) / 2
+            error = 1 / (1 + np.exp(-np.clip(out, -40, 40))) - step.y
+            gradient_b = float(error.mean())
             gb += gradient_b**2
-            machine.bias -= RATE * gradient_b / np.sqrt(gb)
-            if not len(flat):
-                continue
-            owner = np.repeat(np.arange(len(batch)), sizes)
-            sums = np.zeros((len(batch), FACTORS))
-            np.add.at(sums, owner, machine.v[flat])
-            used, back = np.unique(flat, return_inverse=True)
-            dw = np.bincount(back, weights=error[owner]) / len(batch) + DECAY * machine.w[used]
-            each = (sums[owner] - machine.v[flat]) * error[owner, None]
-            dv = np.stack([np.bincount(back, weights=each[:, f]) for f in range(FACTORS)], axis=1) / len(batch) + DECAY * machine.v[used]
+            machine.bias -= RATE * gradient_b / gb**0.5
+            # the derivative of a row by its feature's factors is its sum of factors less the feature's own
+            both = x.T @ np.column_stack([sums * error[:, None], error])
+            dw = both[:, -1] / n + DECAY * own_w
+            dv = (both[:, :-1] - own_v * both[:, -1:]) / n + DECAY * own_v
             gw[used] += dw**2
             gv[used] += dv**2
-            machine.w[used] -= RATE * dw / np.sqrt(gw[used])
-            machine.v[used] -= RATE * dv / np.sqrt(gv[used])
+            rate_w, rate_v = RATE / np.sqrt(gw[used]), RATE / np.sqrt(gv[used])
+            moved, turned = own_w - rate_w * dw, own_v - rate_v * dv
+            w[used] = np.sign(moved) * np.maximum(np.abs(moved) - rate_w * price[used], 0)
+            size = np.sqrt((turned**2).sum(axis=1)) + 1e-12
+            v[used] = turned * np.maximum(1 - rate_v.mean(axis=1) * price[used] / size, 0)[:, None]
+    left = strong | (w != 0) | v.any(axis=1)
+    machine.index = {int(t): i for i, t in enumerate(chosen[left])}
+    machine.w, machine.v = w[left].astype(np.float64), v[left].astype(np.float64)
     return machine
 
 
@@ -167,34 +215,48 @@ def fit(rows: list[np.ndarray], labels: list[int], seed: int = 7) -> Factorizati
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = MAX_TRAIN_ROWS) -> tuple[list[np.ndarray], list[int]]:
     """Terms and labels of the training rows, in a fixed order. The chosen label
-    rows are at most ``rows``, so they may be broadcast to the documents."""
+    rows are at most ``rows``, so they may be broadcast to the documents; terms are
+    kept in the shared folder, and only those within MAX_TRAIN_TERMS come to the driver."""
+    own, mark = named(key), named(label)
     chosen = (
-        labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
-        .groupBy(F.col(key).alias("__key"))
-        .agg(F.max(F.col(label).cast("int")).alias("__label"))
+        labels.where(mark.isNotNull() & own.isNotNull() & ~held_out(own))
+        .groupBy(own.alias("__key"))
+        .agg(F.max(mark.cast("int")).alias("__label"))
         .orderBy(F.xxhash64("__key"), "__key")
         .limit(rows)
     )
-    picked = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__key")
+    picked = docs.select(own.alias("__key"), named(text).alias("__text")).join(F.broadcast(chosen), "__key")
+    once = picked.groupBy("__key", "__label").agg(F.min(F.struct(F.xxhash64("__text").alias("h"), F.col("__text").alias("t"))).alias("__least"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms()
-        for batch in batches:
-            found = [sorted(terms(x)) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(2), pa.array(found, pa.list_(pa.int32()))], names=["key", "label", "terms"])
-
-    table = picked.select("__key", "__text", "__label").mapInArrow(run, "key string, label int, terms array<int>").toArrow()
-    keys, sizes = table["key"].to_pylist(), [len(x) for x in table["terms"]]
-    order = sorted(range(len(keys)), key=lambda i: (zlib.crc32(keys[i].encode()), keys[i], sizes[i]))
-    lists, y, total = [], [], 0
-    for i in order:
-        terms = table["terms"][i].values.to_numpy()
-        total += sizes[i]
+        for big in batches:
+            for at in range(0, big.num_rows, 200):
+                batch = big.slice(at, 200)
+                found = [sorted(terms(x)) for x in batch.column(2).to_pylist()]
+                sizes = pa.array([len(x) for x in found], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sizes, pa.array(found, pa.list_(pa.int32()))], names=["key", "label", "n", "terms"])
+
+    typed = once.select(F.col("__key").cast("string"), "__label", F.col("__least")["t"].alias("text"))
+    kept = materialize(typed.mapInArrow(run, "key string, label int, n bigint, terms array<int>"), "training-terms")
+    order = sorted(((zlib.crc32(r["key"].encode()), r["key"], r["n"]) for r in kept.select("key", "n").collect()))  # ``rows`` rows at most
+    total, within = 0, []
+    for crc, k, n in order:
+        total += n
         if total > MAX_TRAIN_TERMS:
             break
-        lists.append(terms)
-        y.append(table["label"][i].as_py())
-    return lists, y
+        within.append((crc, k))
+    if not within:
+        return [], []
+    last = within[-1]
+    crc = F.crc32(F.encode("key", "UTF-8"))
+    found = kept.where((crc < last[0]) | ((crc == last[0]) & (F.col("key") <= last[1]))).select("key", "label", "terms").toArrow()
+    at = {k: i for i, k in enumerate(found["key"].to_pylist())}
+    ranked = [at[k] for _, k in within]
+    marks = found["label"].to_pylist()
+    lists = found["terms"].combine_chunks()
+    values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+    return [values[offsets[i] : offsets[i + 1]] for i in ranked], [marks[i] for i in ranked]
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, **names: str) -> FactorizationMachine:
@@ -208,20 +270,33 @@ def score_toxicity(docs: DataFrame, machine: FactorizationMachine, text: str = "
     at = kept.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, machine = Terms(), model.value
-        index = machine.index
-        known = index.keys()
+        machine = model.value
+        terms = _worker_terms(machine)
         for big in batches:
-            for start in range(0, big.num_rows, 500):
-                batch = big.slice(start, 500)
-                rows = [[index[t] for t in sorted(known & terms(x))] for x in batch.column(at).to_pylist()]
+            for start in range(0, big.num_rows, 200):
+                batch = big.slice(start, 200)
+                rows = [sorted(terms(x)) for x in batch.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(machine.score(rows))], names=[*kept, score])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
-    return docs.select(*kept).mapInArrow(run, f"{schema}, `{score}` double")
+    return map_arrow(docs.select(*map(named, kept)), run, schema_of(docs, kept, f"{quoted(score)} double"))
+
+
+_TERMS: list = [None, None]
+
+
+def _worker_terms(machine: FactorizationMachine) -> Terms:
+    """One cache of words a worker process and machine."""
+    if _TERMS[0] is not machine:
+        _TERMS[:] = machine, Terms(machine.index)
+    return _TERMS[1]
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents that score below ``threshold``, with all their columns."""
-    scored = score_toxicity(docs, fit_toxicity(docs, labels), score="__toxicity")
-    return scored.where(F.col("__toxicity") < threshold).select(*docs.columns)
+    """The documents that score below ``threshold``, with all their columns; all of
+    them if the labels told nothing."""
+    machine = fit_toxicity(docs, labels)
+    if not machine.learned:
+        return docs
+    score = free_name(docs, "toxicity")
+    scored = score_toxicity(docs, machine, score=score)
+    return scored.where(named(score) < threshold).select(*map(named, docs.columns))

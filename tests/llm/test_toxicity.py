@@ -1,9 +1,11 @@
+import re
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shelfline.llm import toxicity
 from shelfline.llm.q_toxicity import op1_toxicity_machine
 from shelfline.llm.toxicity import FactorizationMachine, Terms, drop_toxic, fit, fit_toxicity, held_out, labelled_sample, score_toxicity
 
@@ -71,3 +73,59 @@ def test_held_out_accuracy(spark, sf):
     mine = [r for r in rows if r["held_out"]]
     assert sum(r["predicted"] == r["toxic"] for r in mine) / len(mine) > 0.93
     assert not [r for r in mine if r["predicted"] and not r["toxic"]]
+
+
+def test_xor_is_learned():
+    """Neither term differs between the classes by itself: only the pair tells."""
+    rng = np.random.default_rng(2)
+    rows, labels = [], []
+    for _ in range(3000):
+        a, b = rng.random(2) < 0.5
+        rows.append(np.unique([*([1] if a else []), *([2] if b else []), *rng.integers(100, 130, 4)]).astype(np.int32))
+        labels.append(int(a != b))
+    machine = fit(rows, labels)
+    scores = machine.score([[machine.index[t] for t in x if t in machine.index] for x in rows])
+    right = ((scores >= 0.5) == np.array(labels)).mean()
+    assert {1, 2} <= set(machine.index) and right > 0.95
+
+
+def test_nothing_learned_drops_nothing(spark, odd, none):
+    for rows in ([], [(1, 1, 1), (8, 1, 1)], [(1, 1, 0)], [(None, 1, 1)], [(1, 1, None)]):
+        assert drop_toxic(odd, spark.createDataFrame(rows, LABEL)).count() == odd.count()
+    assert drop_toxic(none, spark.createDataFrame([(1, 1, 1), (2, 1, 0)], LABEL)).count() == 0
+
+
+def test_own_columns_stay(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    extra = docs.withColumns({"__toxicity": F.lit("mine"), "toxicity": F.lit(7), "od`d.name": F.col("doc_id")})
+    left = drop_toxic(extra, labels)
+    assert left.columns == extra.columns and 0 < left.count() < extra.count()
+    assert {(r["__toxicity"], r["toxicity"], r["od`d.name"] == r["doc_id"]) for r in left.collect()} == {("mine", 7, True)}
+
+
+def test_sample_is_bounded(spark, monkeypatch):
+    """An id trains once however often it stands there, and terms are bounded before they are collected."""
+    docs = spark.createDataFrame([(i % 40, f"text number{chr(97 + i % 40)} of some words" + (" again" if i > 400 else "")) for i in range(800)], "doc_id bigint, text string").repartition(7)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(40)], LABEL)
+    lists, y = labelled_sample(docs, labels)
+    assert len(lists) == len(y) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(40))
+    assert len(labelled_sample(docs, labels, rows=7)[0]) == 7
+    monkeypatch.setattr(toxicity, "MAX_TRAIN_TERMS", sum(map(len, lists[:5])))
+    few, marks = labelled_sample(docs, labels)
+    assert [x.tolist() for x in few] == [x.tolist() for x in lists[:5]] and marks == y[:5]
+
+
+def test_query_is_the_sum_by_definition(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    machine = fit_toxicity(docs, labels)
+    rows = {r["doc_id"]: r for r in op1_toxicity_machine(spark, sf_dir).collect()}
+    assert len(rows) == docs.count()
+    for doc in docs.collect():
+        found = {t for w in re.findall(r"[^\W\d_]+", doc["text"].lower()) for t in Terms.of_word(w)}
+        own = np.array(sorted(machine.index[t] for t in found if t in machine.index), dtype=int)
+        value, so_far = machine.bias + machine.w[own].sum(), np.zeros(machine.v.shape[1])
+        for v in machine.v[own]:
+            value += v @ so_far
+            so_far = so_far + v
+        assert abs(rows[doc["doc_id"]]["score"] - 1 / (1 + np.exp(-value))) < 1e-6
+        assert rows[doc["doc_id"]]["held_out"] == (zlib.crc32(str(doc["doc_id"]).encode()) % 5 == 0)
