@@ -8,9 +8,12 @@ the others are repeats. Repeats go where they make up a run of at least
 ``min_words`` words in one document: a lone short sentence that many documents
 share by chance stays. What goes is reported as offsets into the original text.
 
-Only digests are grouped, with partial aggregation; the join back takes only
-digests that occur in several documents, and adaptive execution can split hot
-ones. No group of occurrences is ever collected.
+Texts are hashed once; their digests are kept in the shared folder and read for
+the groups and for the join back. Digests are grouped with partial aggregation. The
+join's one side has a row for each digest that several documents have, its other
+side the digests of all units: a hot digest is one row on the first, so adaptive
+execution can split the second. No group of occurrences is ever collected, and text
+moves only once, to meet the unit numbers that its document loses.
 
 Defined results
     null text            stays null, without removed spans
@@ -20,7 +23,7 @@ Defined results
     null ids             rank after all others, and are one document like rows of one id
     all units removed    the empty text
     empty table          no rows
-Other columns pass through; names that begin with __dedup are reserved.
+Other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_hashes
+from .common import free_name, map_arrow, materialize, named, quoted, schema_of, text_hashes
 
 #: A run of repeated units goes if it has so many words.
 MIN_WORDS = 8
@@ -110,47 +113,55 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return out
 
 
-def find_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, x, y, repeats): for each text of a document, known by its hashes x and
-    y, the numbers of units that an earlier document has; texts without any have no
-    row."""
+DIGESTS = "k {kind}, x bigint, y bigint, units array<struct<n: int, a: bigint, b: bigint>>"
+
+
+def digest_lists(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(k, x, y, units): for each text its id, its hashes, and number and digest of
+    each unit that it didn't have before."""
     kind = df.schema[key].dataType.simpleString()
+    names = ["k", "x", "y", "units"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for at in range(0, big.num_rows, 500):
                 batch = big.slice(at, 500)
-                row, number, digest = [], [], []
-                for i, value in enumerate(batch.column(3).to_pylist()):
+                sizes, number, digest = [0], [], []
+                for value in batch.column(3).to_pylist():
                     pairs = unit_digests(value or "")
                     # within a text only the first of equal units counts
                     _, first = np.unique(pairs.view("<i8,<i8"), return_index=True)
-                    row.append(np.full(len(first), i, dtype=np.int64))
+                    sizes.append(len(first))
                     number.append(first)
                     digest.append(pairs[first])
                 digests = np.concatenate(digest)
-                rows = pa.array(np.concatenate(row))
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).take(rows) for c in range(3)), pa.array(np.concatenate(number).astype(np.int32)), pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy())],
-                    names=["k", "x", "y", "n", "a", "b"],
-                )
-
-    x, y = text_hashes(F.col(text))
-    found = df.select(F.col(key).alias("k"), x.alias("x"), y.alias("y"), F.col(text).alias("t")).mapInArrow(run, f"k {kind}, x bigint, y bigint, n int, a bigint, b bigint")
+                flat = pa.StructArray.from_arrays([pa.array(np.concatenate(number).astype(np.int32)), pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy())], names=["n", "a", "b"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.ListArray.from_arrays(np.cumsum(sizes).astype(np.int32), flat)], names=names)
+
+    x, y = text_hashes(named(text))
+    return df.select(named(key).alias("k"), x.alias("x"), y.alias("y"), named(text).alias("t")).mapInArrow(run, DIGESTS.format(kind=kind))
+
+
+def find_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, x, y, repeats): for each text of a document, known by its hashes x and
+    y, the numbers of units that an earlier document has; texts without any have no
+    row."""
+    lists = materialize(digest_lists(df, key, text), "unit-digests")
     # min leaves out nulls: only where all ids are null is there no first document
-    groups = found.groupBy("a", "b").agg(F.min("k").alias("head"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    later = found.join(groups, ["a", "b"]).where(~F.col("k").eqNullSafe(F.col("head")))
+    groups = lists.select("k", F.inline("units")).groupBy("a", "b").agg(F.min("k").alias("head"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    later = lists.select("k", "x", "y", F.inline("units")).join(groups, ["a", "b"]).where(~F.col("k").eqNullSafe(F.col("head")))
     return later.groupBy("k", "x", "y").agg(F.collect_set("n").alias("repeats")).withColumnRenamed("k", key)
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, spans: str = "removed") -> DataFrame:
     """``df`` with repeats removed from ``text`` and a column ``spans`` of (start,
     end) in the original text, counted in code points."""
-    repeats = find_repeats(df, key, text).toDF("__dedup_key", "__dedup_x", "__dedup_y", "__dedup")
-    x, y = text_hashes(F.col(text))
-    own = F.col(key).eqNullSafe(F.col("__dedup_key")) & (x == F.col("__dedup_x")) & (y == F.col("__dedup_y"))
-    joined = df.join(repeats, own, "left")
+    own = [free_name(df, f"dedup_{c}") for c in ("key", "x", "y", "repeats")]
+    repeats = find_repeats(df, key, text).toDF(*own)
+    x, y = text_hashes(named(text))
+    same = named(key).eqNullSafe(F.col(own[0])) & (x == F.col(own[1])) & (y == F.col(own[2]))
     names = [c for c in df.columns if c != spans]
+    joined = df.select(*map(named, names)).join(repeats, same, "left")
     at, last = names.index(text), len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,5 +178,5 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", min_w
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(gone, kind)], names=[*names, spans])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*names).schema)
-    return joined.select(*names, "__dedup").mapInArrow(run, f"{schema}, `{spans}` array<struct<start: int, end: int>>")
+    schema = schema_of(df, names, f"{quoted(spans)} array<struct<start: int, end: int>>")
+    return map_arrow(joined.select(*map(named, names), F.col(own[3])), run, schema)

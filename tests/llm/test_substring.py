@@ -89,3 +89,38 @@ def test_query(spark, sf):
     d = f"/root/testdata/sf{sf}"
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
     assert got(op6_substring_dedup(spark, d)) == brute(rows)
+
+
+def test_null_ids_and_repeated_rows_lose_no_unique_text(spark):
+    """Every unit that stands anywhere still stands somewhere; units that only one
+    text has stay where they are, whatever ids the rows have."""
+    def unit(i):
+        return f"Sentence number {i} has quite enough words of its own to go alone."
+
+    rows = [(None, f"{unit(1)} {unit(2)} {unit(3)}"), (None, f"{unit(4)} {unit(2)} {unit(5)}"), (None, f"{unit(4)} {unit(2)} {unit(5)}")]
+    rows += [(7, f"{unit(6)} {unit(2)}"), (7, f"{unit(7)} {unit(8)} {unit(2)}"), (7, f"{unit(6)} {unit(2)}"), (3, f"{unit(8)} {unit(9)}"), (9, None), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    out = got(remove_repeats(df))
+    assert len(out) == len(rows)
+    kept = " ".join(t or "" for _, t, _ in out)
+    assert all(unit(i) in kept for i in range(1, 10))
+    for k, t, cut in out:
+        source = [x for key, x in rows if key == k and without(x or "", cut) == (t or "")]
+        assert source  # what stays is a row's own text without the spans
+    by_key = {}
+    for k, t, _ in out:
+        by_key.setdefault(k, []).append(t)
+    assert sorted(by_key[None]) == sorted([f"{unit(1)} {unit(3)}", f"{unit(4)} {unit(5)}", f"{unit(4)} {unit(5)}"])
+    assert sorted(by_key[7]) == sorted([f"{unit(6)} {unit(2)}", f"{unit(6)} {unit(2)}", f"{unit(7)} {unit(2)}"])
+
+
+def test_all_ids_null(spark):
+    rows = [(None, PASSAGE), (None, PASSAGE + " And more of it.")]
+    out = got(remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert out == sorted(((k, t, []) for k, t in rows), key=repr)  # rows without an id are one document
+
+
+def test_odd_names(spark):
+    df = spark.createDataFrame([(1, PASSAGE, 1), (2, PASSAGE, 2)], "`i``d` bigint, `te.xt` string, dedup_key int")
+    out = remove_repeats(df, "i`d", "te.xt")
+    assert out.columns == ["i`d", "te.xt", "dedup_key", "removed"] and sorted(len(r["te.xt"]) for r in out.collect()) == [0, len(PASSAGE)]
