@@ -1,11 +1,13 @@
-"""Quality by an interpolated modified Kneser-Ney model of character 5-grams.
+"""Quality by an interpolated modified Kneser-Ney model of character 4-grams.
 
 The model is counted over all trusted text. Counts, continuation counts,
 context totals and back-off weights are tables sharded by n-gram key; the model
 is their join. Documents are scored in blocks: the n-grams of a block are made
 distinct, joined with the model's shards, and what comes back is joined with the
 block, so that what moves is a block's vocabulary and not its running text, and
-no task or driver ever holds the model. The text itself is shuffled once, packed.
+no task or driver ever holds the model. The text itself is shuffled once, packed;
+each block is a partition of its own. Very long texts are cut where they are counted
+and scored, with the symbols before each part as its context.
 
 A fifth of the trusted documents, by a hash of the id, are not counted: they say
 how text that the model hasn't seen scores. A document is kept if its perplexity
@@ -13,12 +15,11 @@ is at most their quantile in its language (over all languages, where its own has
 fewer than :data:`MIN_CALIBRATION`). As the mean of few symbols varies more, the
 perplexity compared is the one divided by 1 + :data:`SPREAD` / sqrt(symbols).
 
-Symbols. A character is a symbol of 12 bits: code points below 2047 are their
-own, rarer ones share 2047 hashed symbols. A word that repeats the one before it
-becomes a mark that says how often it did, as running text hardly has such
-words. Five symbols fit one
-64-bit key, a shorter n-gram is the same key with zeros in front: prefixes and
-suffixes are shifts and masks.
+Symbols. A character is a symbol of 15 bits: the code points of :data:`OWN`, ideographs
+and kana among them, are their own, rarer ones share about 3,000 hashed symbols. A
+word that repeats the one before it becomes a mark that says how often it did, as
+running text hardly has such words. Four symbols fit one 64-bit key, a shorter n-gram
+is the same key with zeros in front: prefixes and suffixes are shifts and masks.
 
 Defined results
     null or empty text, or only white space   no symbols, null perplexity, not kept
@@ -26,8 +27,10 @@ Defined results
     null language            the quantile of all trusted documents
     repeated rows            scored alike; trusted text counts once for each row
     null ids                 never trusted, scored like others
+    ids                      whole numbers, or text that holds them; others fail the job
     labels that disagree     trusted if every label that isn't null says so
     empty table              no rows
+Other columns pass through drop_low_quality, whatever their names.
 """
 
 from __future__ import annotations
@@ -41,16 +44,18 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_hashes
+from .common import free_name, materialize, named, text_hashes
 
-ORDER = 5
-BITS = 12
+ORDER = 4
+BITS = 15
 BEGIN = (1 << BITS) - 1
-_OWN = 2047
-#: Characters of text in a block, about.
-BLOCK_CHARS = 48_000_000
-#: Characters taken at a time inside a block.
-STEP_CHARS = 2_000_000
+#: Code points that are symbols of their own, as [first, end): letters and marks of most scripts, kana, ideographs. Others share the symbols that are left.
+OWN = ((0x0000, 0x2100), (0x3000, 0x3100), (0x4E00, 0xA000))
+_OWN_SYMBOLS = sum(b - a for a, b in OWN)
+#: Characters of text in a block, about, and partitions of blocks, at most: beyond that a task has several blocks, one after the other.
+BLOCK_CHARS, MAX_PARTITIONS = 32_000_000, 50_000
+#: Characters that a task holds before it packs them, and those taken at a time inside a block.
+FLUSH_CHARS, STEP_CHARS = 16_000_000, 2_000_000
 #: Share of trusted documents of a language that its threshold keeps, and the slack above it.
 QUANTILE, SLACK = 0.995, 1.05
 MIN_CALIBRATION, SPREAD = 30, 2.0
@@ -78,11 +83,18 @@ def marked(text: str | None) -> str:
 
 def symbols(text: str) -> np.ndarray:
     code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    return np.where(code < _OWN, code + 1, _OWN + 1 + (code * 2654435761 >> 7) % (_OWN - 1))
+    if text.isascii():
+        return code + 1
+    out = _OWN_SYMBOLS + 1 + (code * 2654435761 >> 7) % (BEGIN - 1 - _OWN_SYMBOLS)
+    before = 1  # symbol 0 is none's: shorter n-grams have zeros in front
+    for first, end in OWN:
+        out = np.where((code >= first) & (code < end), code - first + before, out)
+        before += end - first
+    return out
 
 
 def keys_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """5-gram keys of all positions of all texts, and each text's number of them."""
+    """Keys of the n-grams that end at each position of all texts, and each text's number of them."""
     sizes = np.array([len(x) for x in texts], dtype=np.int64)
     pad = chr(0) * (ORDER - 1)  # its symbols are replaced below
     flat = symbols(pad + pad.join(texts)) if texts else np.zeros(0, np.int64)
@@ -98,16 +110,31 @@ def keys_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return key[own], sizes
 
 
-def _steps(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about STEP_CHARS characters each."""
-    at = size = 0
+def key_steps(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(keys, numbers of texts, how many keys each has there) of about STEP_CHARS
+    characters at a time. A longer text is cut; each part but the first has the
+    symbols before it as context."""
+
+    def together(at: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys, sizes = keys_of([texts[i] for i in at])
+        return keys, np.array(at, dtype=np.int64), sizes
+
+    held: list[int] = []
+    size = 0
     for i, x in enumerate(texts):
+        if len(x) > STEP_CHARS:
+            for start in range(0, len(x), STEP_CHARS):
+                lead = min(start, ORDER - 1)
+                keys = keys_of([x[start - lead : start + STEP_CHARS]])[0][lead:]
+                yield keys, np.array([i]), np.array([len(keys)])
+            continue
+        held.append(i)
         size += len(x)
         if size >= STEP_CHARS:
-            yield at, i + 1
-            at, size = i + 1, 0
-    if at < len(texts):
-        yield at, len(texts)
+            yield together(held)
+            held, size = [], 0
+    if held:
+        yield together(held)
 
 
 class KeyTable:
@@ -146,7 +173,7 @@ class KeyTable:
 
 
 def count_ngrams(df: DataFrame, text: str = "text") -> DataFrame:
-    """(g, c) of 5-grams; each task hands on its own sums."""
+    """(g, c) of n-grams of the highest order; each task hands on its own sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, pending = [], [], 0
@@ -160,8 +187,8 @@ def count_ngrams(df: DataFrame, text: str = "text") -> DataFrame:
 
         for batch in batches:
             texts = [marked(x) for x in batch.column(0).to_pylist()]
-            for a, b in _steps(texts):
-                k, c = np.unique(keys_of(texts[a:b])[0], return_counts=True)
+            for own, _, _ in key_steps(texts):
+                k, c = np.unique(own, return_counts=True)
                 keys.append(k)
                 counts.append(c)
                 pending += len(k)
@@ -221,7 +248,7 @@ def fit_model(trusted: DataFrame, text: str = "text") -> DataFrame:
 
 
 def log_probabilities(grams: np.ndarray, table: KeyTable, alpha: np.ndarray, gamma: np.ndarray) -> np.ndarray:
-    """Natural logs for 5-gram keys, from the smallest order upwards: an n-gram's
+    """Natural logs for keys of the highest order, from the smallest order upwards: an n-gram's
     own part plus its context's weight times the next smaller order."""
     p = np.full(len(grams), 1.0 / (1 << BITS))
     for n in range(1, ORDER + 1) if len(alpha) else ():
@@ -235,47 +262,76 @@ def log_probabilities(grams: np.ndarray, table: KeyTable, alpha: np.ndarray, gam
 # ---------------------------------------------------------------- scoring
 
 
-def _pack(texts: list[str], ids: list, langs: list, hash_x: list, hash_y: list) -> bytes:
-    longs = {name: pa.array(own, pa.int64()) for name, own in (("id", ids), ("hash_x", hash_x), ("hash_y", hash_y))}
-    table = pa.table({**longs, "lang": pa.array(langs, pa.string()), "text": pa.array(texts, pa.string())})
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as out:
-        out.write_table(table)
-    return zstandard.ZstdCompressor(3).compress(sink.getvalue().to_pybytes())
+class _Held:
+    """Rows of a block on their way to a blob; equal texts are held once."""
+
+    def __init__(self) -> None:
+        self.texts: list[str] = []
+        self.places: dict[tuple[int, int], int] = {}
+        self.rows: list[tuple] = []
+
+    def add(self, text: str | None, key: int | None, hash_x: int, hash_y: int, lang: str | None) -> int:
+        """Returns how many characters that adds, about."""
+        place = self.places.get((hash_x, hash_y))
+        self.rows.append((key, hash_x, hash_y, lang, len(self.texts) if place is None else place))
+        if place is not None:
+            return 40
+        self.places[hash_x, hash_y] = len(self.texts)
+        self.texts.append(marked(text))
+        return len(self.texts[-1]) + 50
 
+    def packed(self) -> bytes:
+        key, hash_x, hash_y, lang, place = zip(*self.rows, strict=True)
+        text = pa.DictionaryArray.from_arrays(pa.array(place, pa.int32()), pa.array(self.texts, pa.string()))
+        longs = {name: pa.array(own, pa.int64()) for name, own in (("id", key), ("hash_x", hash_x), ("hash_y", hash_y))}
+        table = pa.table({**longs, "lang": pa.array(lang, pa.string()), "text": text})
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table)
+        return zstandard.ZstdCompressor(3).compress(sink.getvalue().to_pybytes())
 
-def _unpack(blob: bytes) -> pa.Table:
-    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob)).read_all()
+
+def _unpack(blob: bytes) -> tuple[pa.Table, list[str], np.ndarray]:
+    """Rows, distinct texts, and which of them each row has."""
+    table = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob)).read_all()
+    text = table["text"].combine_chunks()
+    text = text.chunk(0) if isinstance(text, pa.ChunkedArray) else text
+    return table, text.dictionary.to_pylist(), text.indices.to_numpy()
 
 
 def packed_blocks(df: DataFrame, key: str, text: str, lang: str, blocks: int) -> DataFrame:
-    """(block, blob): documents by the hash of their key, marked and packed."""
+    """(block, blob): documents marked and packed, a block for each partition. The
+    block follows from the id, the text and the partition that a row stands in, so
+    rows equal in all columns are spread as well, and those that meet are held once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[list, ...]] = {}
+        held: dict[int, _Held] = {}
         size = 0
 
         def flush() -> pa.RecordBatch:
-            rows = [(b, _pack(*x)) for b, x in held.items()]
+            rows = [(b, x.packed()) for b, x in held.items()]
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["block", "blob"])
 
-        for batch in batches:
-            for block, i, x, *others in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = held.setdefault(block, ([], [], [], [], []))
-                x = marked(x)
-                for part, value in zip(own, (x, i, *others), strict=True):
-                    part.append(value)
-                size += len(x) + 50
-                if size > 16_000_000:
-                    yield flush()
-                    size = 0
+        for big in batches:
+            for at in range(0, big.num_rows, 500):
+                for block, x, *others in zip(*(c.to_pylist() for c in big.slice(at, 500).columns), strict=True):
+                    size += held.setdefault(block, _Held()).add(x, *others)
+                    if size > FLUSH_CHARS:
+                        yield flush()
+                        size = 0
         if held:
             yield flush()
 
-    block = F.pmod(F.xxhash64(F.col(key).cast("bigint"), F.length(text)), F.lit(blocks)).cast("int")
-    rows = df.select(block.alias("block"), F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), *text_hashes(F.col(text)))
-    return rows.mapInArrow(run, "block int, blob binary").repartition(blocks, "block")
+    hash_x, hash_y = text_hashes(named(text))
+    rows = df.select(named(text).alias("text"), named(key).cast("bigint").alias("id"), hash_x, hash_y, named(lang).cast("string").alias("lang"))
+    block = F.pmod(F.xxhash64("id", "hash_x", F.spark_partition_id()), F.lit(blocks)).cast("int")
+    return deal(rows.select(block.alias("block"), "*").mapInArrow(run, "block int, blob binary"), blocks)
+
+
+def deal(df: DataFrame, blocks: int) -> DataFrame:
+    """Blocks to partitions by their number: one each, up to MAX_PARTITIONS."""
+    return df.repartitionById(min(blocks, MAX_PARTITIONS), F.col("block"))
 
 
 def block_ngrams(blocks: DataFrame) -> DataFrame:
@@ -286,12 +342,11 @@ def block_ngrams(blocks: DataFrame) -> DataFrame:
         seen: dict[int, list[np.ndarray]] = {}
         for batch in batches:
             for block, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                texts = _unpack(blob.as_py())["text"].to_pylist()
                 own = seen.setdefault(block, [])
-                for a, b in _steps(texts):
-                    own.append(np.unique(keys_of(texts[a:b])[0]))
-                if sum(map(len, own)) > 2_000_000:
-                    own[:] = [np.unique(np.concatenate(own))]
+                for keys, _, _ in key_steps(_unpack(blob.as_py())[1]):
+                    own.append(np.unique(keys))
+                    if sum(map(len, own)) > 4_000_000:
+                        own[:] = [np.unique(np.concatenate(own))]
         for block, own in seen.items():
             grams = np.unique(np.concatenate(own)) if own else np.zeros(0, np.int64)
             parts = [grams, grams >> BITS]
@@ -310,9 +365,10 @@ def block_ngrams(blocks: DataFrame) -> DataFrame:
 SCORED = "id bigint, lang string, hash_x bigint, hash_y bigint, n_symbols bigint, perplexity double"
 
 
-def score_blocks(blocks: DataFrame, model: DataFrame) -> DataFrame:
-    """Perplexities of the documents in packed blocks."""
-    answers = block_ngrams(blocks).join(model, "key").select("block", "key", F.col("alpha").cast("float"), F.col("gamma").cast("float"))
+def score_blocks(blocks: DataFrame, model: DataFrame, count: int) -> DataFrame:
+    """Perplexities of the documents in ``count`` packed blocks."""
+    found = block_ngrams(blocks).join(model, "key").select("block", "key", F.col("alpha").cast("float"), F.col("gamma").cast("float"))
+    answers = deal(found, count)
     names = [x.split()[0] for x in SCORED.split(", ")]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -323,19 +379,16 @@ def score_blocks(blocks: DataFrame, model: DataFrame) -> DataFrame:
         table = KeyTable(np.ascontiguousarray(key))
         out = []
         for blob in left["blob"]:
-            docs = _unpack(blob.as_py())
-            texts = docs["text"].to_pylist()
-            sums, counts = [], []
-            for a, b in _steps(texts):
-                grams, sizes = keys_of(texts[a:b])
+            docs, texts, place = _unpack(blob.as_py())
+            total, n = np.zeros(len(texts)), np.zeros(len(texts), dtype=np.int64)
+            for grams, numbers, sizes in key_steps(texts):
                 different = np.unique(grams)
                 value = log_probabilities(different, table, alpha, gamma)[KeyTable(different).find(grams)]
                 ends = np.concatenate([[0.0], np.cumsum(value)])
                 at = np.concatenate([[0], np.cumsum(sizes)])
-                sums.append(ends[at[1:]] - ends[at[:-1]])
-                counts.append(sizes)
-            total = np.concatenate(sums) if sums else np.zeros(0)
-            n = np.concatenate(counts) if counts else np.zeros(0, np.int64)
+                total[numbers] += ends[at[1:]] - ends[at[:-1]]
+                n[numbers] += sizes
+            total, n = total[place], n[place]
             perplexity = np.exp(-total / np.maximum(n, 1))
             known = (n > 0) & (len(key) > 0)
             out.append(pa.table([docs["id"], docs["lang"], docs["hash_x"], docs["hash_y"], pa.array(n), pa.array(perplexity, mask=~known)], names=names))
@@ -359,7 +412,7 @@ def trusted_text(df: DataFrame, trusted: DataFrame, key: str = "doc_id", text: s
     def bucket(c: str) -> Column:
         return F.pmod(F.xxhash64(c), F.lit(ID_BUCKETS)).alias("bucket")
 
-    rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
+    rows = df.select(named(key).cast("bigint").alias("id"), named(text).alias("text"))
     buckets = trusted.select(bucket("id")).distinct()
     return rows.select("*", bucket("id")).join(F.broadcast(buckets), "bucket", "left_semi").join(trusted, "id", "left_semi").select("text")
 
@@ -369,10 +422,11 @@ def decisions(df: DataFrame, labels: DataFrame, key: str, text: str, lang: str,
     for each row."""
     trusted = materialize(trusted_ids(labels, key).withColumn("aside", F.crc32(F.encode(F.col("id").cast("string"), "UTF-8")) % 5 == 1), "trusted")
     model = fit_model(trusted_text(df, trusted.where("NOT aside").select("id"), key, text))
-    chars = df.select(F.sum(F.length(text)).alias("n")).first()["n"] or 0
-    blocks = packed_blocks(df, key, text, lang, max(1, -(-chars // BLOCK_CHARS)))
+    chars = df.select(F.sum(F.length(named(text))).alias("n")).first()["n"] or 0
+    count = max(1, -(-chars // BLOCK_CHARS))
+    blocks = packed_blocks(df, key, text, lang, count)
     adjusted = F.col("perplexity") / (1 + SPREAD / F.sqrt(F.greatest("n_symbols", F.lit(1))))
-    scored = materialize(score_blocks(blocks, model).withColumn("adjusted", adjusted), "scored")
+    scored = materialize(score_blocks(blocks, model, count).withColumn("adjusted", adjusted), "scored")
     good = scored.join(trusted.where("aside").select("id"), "id", "left_semi").where(F.col("adjusted").isNotNull())
     cut = (F.percentile_approx("adjusted", quantile, 10_000) * slack).alias("threshold")
     overall = good.agg(cut).first()["threshold"]
@@ -392,7 +446,8 @@ def drop_low_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id", text
     """The kept documents, all columns. Each row goes or stays by its own decision,
     with null ids and with several texts of one id too."""
     made = decisions(df, labels, key, text, lang, QUANTILE, SLACK).where("NOT kept")
-    gone = made.groupBy("id", "lang", "hash_x", "hash_y").agg(F.lit(1)).toDF("__quality_id", "__quality_lang", "__quality_x", "__quality_y", "__quality")
-    x, y = text_hashes(F.col(text))
-    same = F.col(key).cast("bigint").eqNullSafe(F.col("__quality_id")) & F.col(lang).cast("string").eqNullSafe(F.col("__quality_lang"))
-    return df.join(gone, same & (x == F.col("__quality_x")) & (y == F.col("__quality_y")), "left_anti").select(*df.columns)
+    own = [free_name(df, f"quality_{c}") for c in ("id", "lang", "x", "y")]
+    gone = made.select("id", "lang", "hash_x", "hash_y").distinct().toDF(*own)
+    x, y = text_hashes(named(text))
+    same = named(key).cast("bigint").eqNullSafe(F.col(own[0])) & named(lang).cast("string").eqNullSafe(F.col(own[1]))
+    return df.join(gone, same & (x == F.col(own[2])) & (y == F.col(own[3])), "left_anti").select(*map(named, df.columns))

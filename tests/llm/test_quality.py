@@ -1,10 +1,12 @@
 import math
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 
+from shelfline.llm import ngram_quality
 from shelfline.llm.ngram_quality import (
-    BEGIN, BITS, ORDER, KeyTable, discounts, drop_low_quality, fit_model, keys_of, log_probabilities, marked, score_quality, symbols,
+    BEGIN, BITS, ORDER, OWN, KeyTable, discounts, drop_low_quality, fit_model, key_steps, keys_of, log_probabilities, marked, packed_blocks, score_quality, symbols,
 )
 from shelfline.llm.q_quality import op4_ngram_quality
 
@@ -111,3 +113,64 @@ def test_labels_and_scores(spark):
     good = [r["kept"] for r in rows if r["quality"] == 1]
     bad = [r["kept"] for r in rows if r["quality"] == 0]
     assert sum(good) / len(good) > 0.99 and sum(bad) / len(bad) < 0.1
+
+
+def test_long_texts_are_cut(spark, monkeypatch):
+    """Cut anywhere, a text has the keys and the score that it has whole."""
+    texts = ["the cat sat on the mat and the dog " * 3, "", "ab", "日本語のテキスト" * 9, "x"]
+    whole, sizes = keys_of(texts)
+    for step in (1, 2, 3, 7, 50, 10_000):
+        monkeypatch.setattr(ngram_quality, "STEP_CHARS", step)
+        own = {i: [] for i in range(len(texts))}
+        for keys, numbers, counts in key_steps(texts):
+            at = 0
+            for i, n in zip(numbers, counts, strict=True):
+                own[int(i)] += keys[at : at + n].tolist()
+                at += n
+        assert [len(own[i]) for i in own] == sizes.tolist() and sum(own.values(), []) == whole.tolist()
+
+
+def test_ideographs_are_symbols_of_their_own():
+    own = "".join(chr(c) for a, b in OWN for c in range(a, b))
+    found = symbols(own)
+    assert len(np.unique(found)) == len(own) and found.min() == 1 and found.max() < BEGIN
+    rare = symbols("☃가\U0001f600\U0010ffff")
+    assert rare.min() > found.max() and rare.max() < BEGIN
+    assert symbols("az").tolist() == symbols("azé")[:2].tolist()
+
+
+def test_repeated_rows_are_spread_and_held_once(spark):
+    """Rows equal in all columns: each has its score, and a blob has the text once."""
+    words = "the cat sat on a mat and then it ran to see who came from town by bus".split()
+    rows = [(i, " ".join(words[(i + j * 5) % len(words)] for j in range(30)), "en") for i in range(30)] + [(500, "the same text again and again " * 9, "en")] * 300 + [(None, "no id here at all", None)] * 50
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(6)
+    blobs = packed_blocks(df, "doc_id", "text", "lang", 3).collect()
+    held = [ngram_quality._unpack(bytes(r["blob"])) for r in blobs]
+    assert sum(t.num_rows for t, _, _ in held) == len(rows) and all(len(set(texts)) == len(texts) for _, texts, _ in held)
+    where = [r["block"] for r, (t, texts, place) in zip(blobs, held, strict=True) if "no id here at all" in texts]
+    assert len(set(where)) > 1  # equal rows of several partitions are in several blocks
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id bigint, quality int, toxic int")
+    scored = score_quality(df, labels).collect()
+    assert len(scored) == len(rows) and len({round(r["perplexity"], 9) for r in scored if r["doc_id"] == 500}) == 1
+
+
+def test_whole_query(spark, sf_dir):
+    """Every perplexity against the model by definition, over the same trusted text."""
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    trusted = [r["doc_id"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect() if r["quality"] == 1]
+    p = brute_model([docs[k]["text"] for k in trusted if zlib.crc32(str(k).encode()) % 5 != 1])
+    known = {}
+    rows = op4_ngram_quality(spark, sf_dir).collect()
+    assert len(rows) == len(docs)
+    for r in sorted(rows, key=lambda r: r["n_symbols"])[:60]:
+        own = [BEGIN] * (ORDER - 1) + symbols(marked(docs[r["doc_id"]]["text"])).tolist()
+        logs = 0.0
+        for i in range(ORDER - 1, len(own)):
+            gram = tuple(own[i - ORDER + 1 : i + 1])
+            if gram not in known:
+                known[gram] = math.log(p(gram))
+            logs += known[gram]
+        n = len(own) - ORDER + 1
+        assert r["n_symbols"] == n
+        assert n == 0 or abs(r["perplexity"] / math.exp(-logs / n) - 1) < 1e-4
+        assert r["kept"] == (n > 0 and r["adjusted"] <= r["threshold"])
