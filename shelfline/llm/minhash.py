@@ -9,13 +9,13 @@ out; the rest are confirmed on the full sets, so no link is wrong.
 Groups of copies. Documents of equal sets are one class, held by its least id.
 Only classes have bands, links and components. In each bucket of a band every
 class is compared with the bucket's least class, its hub: as many pairs as
-members. Buckets whose members are then in several components are chained into
-families; the members of a family outside its largest component, the strays, are
-compared on full sets with all of the family, block by block, inside a task: a
-block counts the common shingles of one stray with all members in one sweep, and
-hands on one link for each component that the stray reaches. So every pair of
+members. Where a bucket's members are then in several components, those outside its
+largest component, the strays, are compared with all of the bucket, block by block,
+inside a task: first by the packed signatures alone, which tell who has a likely
+partner in another component; only those come again, with their full sets, and a
+block hands on one link for each component that a stray reaches. So every pair of
 one bucket is confirmed, refused, or already in one component, while no group is
-expanded into its pairs.
+expanded into its pairs and no set moves without a likely partner.
 
 A pair of similarity 0.75 shares no bucket with a chance of 5 in a million.
 
@@ -25,14 +25,17 @@ Defined results
     repeated rows         one class
     several texts of one id   one node, which all of them share
     null ids              sets are counted; never linked, component null, kept
+    ids                   whole numbers, or text that holds them; others fail the job
+    very long words       hashed as a whole
     empty table           no rows
-Only the columns named are read.
+Only the columns named are read, so other columns may have any names.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -40,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import free_name, materialize, named
 
 SHINGLE = 5
 SIMILAR_PERCENT = 75
@@ -49,8 +52,10 @@ BANDS = PERMUTATIONS // BAND_ROWS
 WORDS = PERMUTATIONS * BITS // 64
 #: Estimates so many standard deviations below the threshold are refused without the sets.
 SIGMAS = 6.0
-#: Strays and members of a family that meet in one block, about.
-BLOCK_STRAYS, BLOCK_MEMBERS = 1024, 1024
+#: Strays and members of a bucket that meet in one block, about.
+BLOCK_STRAYS, BLOCK_MEMBERS = 512, 512
+#: The rows of a node with many neighbours are dealt to so many parts.
+SALTS = 16
 
 _RANDOM = np.random.default_rng(20240501)
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -58,10 +63,11 @@ _PLACE = _RANDOM.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + n
 _MULTIPLY = _RANDOM.integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-#: Bytes hashed at a time; a text is cut between words.
-_PIECE = 1 << 20
+#: Bytes hashed at a time; a text is cut between words. A word of so many bytes is hashed by itself.
+_PIECE, _LONG_WORD = 1 << 20, 1 << 12
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -76,7 +82,7 @@ _TABLES: list[np.ndarray] = [np.zeros(0, np.uint64)] * 2
 def _tables(n: int) -> list[np.ndarray]:
     """Powers of the base and of its inverse, made on first use."""
     if len(_TABLES[0]) < n:
-        size = max(n, _PIECE + 4096)
+        size = max(n, _PIECE + 2 * _LONG_WORD)
         _TABLES[:] = _powers(_BASE, size), _powers(_BASE_INVERSE, size)
     return _TABLES
 
@@ -87,15 +93,34 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _whole_hash(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+
+
 def word_hashes(data: bytes) -> np.ndarray:
     """A 64-bit hash of each word of lower-cased UTF-8 text: a polynomial in the
-    bytes, taken from prefix sums."""
+    bytes, taken from prefix sums, and for long words a digest."""
     out = []
     at = 0
     while at < len(data):
         stop = min(len(data), at + _PIECE)
-        while stop < len(data) and not _WHITE[data[stop]]:
-            stop += 1
+        if stop < len(data) and not _WHITE[data[stop]]:
+            # the word at the end belongs to this piece, or to none if it is long
+            cut = _BLANK.search(data, stop, stop + _LONG_WORD)
+            if cut:
+                stop = cut.start()
+            elif stop + _LONG_WORD >= len(data):
+                stop = len(data)
+            else:
+                head = data[at:stop]
+                start = at + max((head.rfind(bytes([c])) for c in (0x20, *range(0x09, 0x0E)))) + 1
+                if start == at:
+                    cut = _BLANK.search(data, stop)
+                    stop = cut.start() if cut else len(data)
+                    out.append(np.array([_whole_hash(data[at:stop])], dtype=np.uint64))
+                    at = stop
+                    continue
+                stop = start
         raw = np.frombuffer(data, np.uint8, count=stop - at, offset=at)
         power, inverse = _tables(len(raw) + 1)
         word = ~_WHITE[raw]
@@ -103,7 +128,10 @@ def word_hashes(data: bytes) -> np.ndarray:
         starts, ends = edge[::2], edge[1::2]
         prefix = np.zeros(len(raw) + 1, dtype=np.uint64)
         np.cumsum(_BYTE[raw] * power[: len(raw)], out=prefix[1:])
-        out.append(_mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)))
+        found = _mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+        for i in np.flatnonzero(ends - starts >= _LONG_WORD):
+            found[i] = _whole_hash(data[at + starts[i] : at + ends[i]])
+        out.append(found)
         at = stop
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
@@ -190,7 +218,7 @@ def sketches(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                     names=["id", "n_shingles", "a", "b", "packed", "bands"],
                 )
 
-    rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("t"))
+    rows = df.select(named(key).cast("bigint").alias("id"), named(text).alias("t"))
     return rows.mapInArrow(run, "id bigint, n_shingles bigint, a bigint, b bigint, packed array<bigint>, bands array<bigint>")
 
 
@@ -204,7 +232,7 @@ def full_sets(df: DataFrame, ids: DataFrame, key: str = "doc_id", text: str = "t
                 sets = [shingle_set(x).view(np.int64) for x in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
 
-    rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("t")).join(ids, "id", "left_semi")
+    rows = df.select(named(key).cast("bigint").alias("id"), named(text).alias("t")).join(ids, "id", "left_semi")
     return rows.mapInArrow(run, "id bigint, set array<bigint>")
 
 
@@ -222,8 +250,24 @@ def confirm(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) ->
     return joined.where(similar).select("x", "y").distinct()
 
 
+def _likely(strays: pa.Table, members: pa.Table, percent: int) -> np.ndarray:
+    """Which strays (rows) and members (columns) of other components have signatures
+    alike enough; the same estimate as :func:`estimated`."""
+    left, right = (t["packed"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, WORDS) for t in (strays, members))
+    unequal = np.zeros((len(left), len(right)), dtype=np.uint16)
+    low = np.uint64(0x5555555555555555)
+    for i in range(WORDS):
+        x = left[:, i, None] ^ right[None, :, i]
+        unequal += np.bitwise_count((x | (x >> np.uint64(1))) & low)
+    chance = 0.5**BITS
+    estimate = ((1 - unequal / PERMUTATIONS) - chance) / (1 - chance)
+    return (estimate >= least_estimate(percent)) & (strays["c"].to_numpy()[:, None] != members["c"].to_numpy()[None, :])
+
+
 def _linked(strays: pa.Table, members: pa.Table, percent: int) -> pa.Table:
-    """(x, y): for each stray, a member of each other component that it is similar to."""
+    """(x, y): for each stray, a member of each other component that it is similar
+    to, by full sets where the signatures are alike."""
+    likely = _likely(strays, members, percent)
     lists = members["set"].combine_chunks()
     values = lists.flatten().to_numpy()
     sizes = np.diff(lists.offsets.to_numpy())
@@ -233,48 +277,63 @@ def _linked(strays: pa.Table, members: pa.Table, percent: int) -> pa.Table:
     ids, parts = members["id"].to_numpy(), members["c"].to_numpy()
     marks = np.zeros(len(known), dtype=np.uint8)
     xs, ys = [], []
-    for x, c, own in zip(strays["id"].to_pylist(), strays["c"].to_pylist(), strays["set"], strict=True):
+    for row, (x, own) in enumerate(zip(strays["id"].to_pylist(), strays["set"], strict=True)):
+        if not likely[row].any():
+            continue
         own = own.values.to_numpy()
         at = np.minimum(np.searchsorted(known, own), len(known) - 1)
         at = at[known[at] == own]
         marks[at] = 1
         both = np.add.reduceat(marks[place], starts, dtype=np.int64)
         marks[at] = 0
-        hit = np.flatnonzero((100 * both >= percent * (sizes + len(own) - both)) & (parts != c))
+        hit = np.flatnonzero(likely[row] & (100 * both >= percent * (sizes + len(own) - both)))
         for i in hit[np.unique(parts[hit], return_index=True)[1]]:
             xs.append(x)
             ys.append(int(ids[i]))
     return pa.table({"x": pa.array(xs, pa.int64()), "y": pa.array(ys, pa.int64())})
 
 
-def stray_links(shared: DataFrame, first: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _meet(rows: DataFrame, others: DataFrame, columns: tuple[str, ...], run: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``run`` over the strays and the members of each block (band, s, m)."""
+    keys = ("band", "s", "m")
+    renamed = others.select(*[F.col(c).alias(f"o_{c}") for c in (*keys, *columns)]).toDF(*keys, *columns)  # both sides come from one table
+    return rows.select(*keys, *columns).groupBy(*keys).cogroup(renamed.groupBy(*keys)).applyInArrow(run, schema)
+
+
+def stray_links(shared: DataFrame, first: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between components that share a bucket (band, hub, id)."""
     known = first.select("id", F.col("component").alias("c"))
-    labelled = materialize(shared.join(known, "id", "left").withColumn("c", F.coalesce("c", "id")), "labelled")
-    mixed = labelled.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("band")
-    chained = materialize(labelled.join(mixed, "band", "left_semi").select(F.col("id").alias("x"), F.col("hub").alias("y"), "c"), "chained")
-    family = components(chained.select("x", "y")).withColumnRenamed("component", "family")
-    members = materialize(family.join(chained.select(F.col("x").alias("id"), "c").distinct(), "id"), "families")
-    parts = members.groupBy("family", "c").agg(F.count(F.lit(1)).alias("n"))
-    sizes = parts.groupBy("family").agg(F.sum("n").alias("all"), F.max(F.struct("n", "c")).alias("top"))
+    labelled = materialize(shared.select("band", "id").join(known, "id", "left").withColumn("c", F.coalesce("c", "id")), "labelled")
+    parts = labelled.groupBy("band", "c").agg(F.count(F.lit(1)).alias("n"))
+    sizes = parts.groupBy("band").agg(F.sum("n").alias("all"), F.max(F.struct("n", "c")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     blocks = sizes.select(
-        "family", F.col("top.c").alias("main"),
+        "band", F.col("top.c").alias("main"),
         F.ceil((F.col("all") - F.col("top.n")) / BLOCK_STRAYS).cast("int").alias("sb"), F.ceil(F.col("all") / BLOCK_MEMBERS).cast("int").alias("mb"),
-    ).where("sb > 0")
-    rows = members.join(blocks, "family").join(sets, "id")
+    )
+    rows = materialize(labelled.join(blocks, "band").join(reps.select("id", "packed"), "id"), "mixed")
     deal = F.xxhash64("id")
     strays = rows.where("c <> main").withColumn("s", F.pmod(deal, F.col("sb")).cast("int")).withColumn("m", F.explode(F.sequence(F.lit(0), F.col("mb") - 1)))
     others = rows.withColumn("m", F.pmod(deal, F.col("mb")).cast("int")).withColumn("s", F.explode(F.sequence(F.lit(0), F.col("sb") - 1)))
-    columns = ("family", "s", "m", "id", "c", "set")
-    keys = columns[:3]
+
+    def partners(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Those of a block that have a likely partner: a row for each, not for each pair."""
+        out = []
+        likely = _likely(left, right, percent) if left.num_rows and right.num_rows else np.zeros((left.num_rows, right.num_rows), dtype=bool)
+        for table, axis, stray in ((left, 1, True), (right, 0, False)):
+            own = table.filter(pa.array(likely.any(axis=axis)))
+            out.append(own.append_column("stray", pa.array([stray] * own.num_rows, pa.bool_())))
+        return pa.concat_tables(out)
+
+    fields = "band bigint, s int, m int, id bigint, c bigint, packed array<bigint>, stray boolean"
+    kept = materialize(_meet(strays, others, ("id", "c", "packed"), partners, fields), "likely")
+    whole = kept.join(sets, "id")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.table({"x": pa.array([], pa.int64()), "y": pa.array([], pa.int64())})
         return _linked(left, right, percent)
 
-    renamed = others.select(*[F.col(c).alias(f"o_{c}") for c in columns]).toDF(*columns)  # both sides come from one table
-    return strays.select(*columns).groupBy(*keys).cogroup(renamed.groupBy(*keys)).applyInArrow(run, "x bigint, y bigint")
+    return _meet(whole.where("stray"), whole.where("NOT stray"), ("id", "c", "packed", "set"), run, "x bigint, y bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -292,7 +351,10 @@ def components(edges: DataFrame) -> DataFrame:
         # large star: every larger neighbour of u goes to the least of u and its neighbours
         both = now.unionByName(now.select(F.col("y").alias("x"), F.col("x").alias("y")))
         least = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
-        large = tidy(both.join(least, "x").where("y > x").select(F.col("y").alias("x"), F.col("m").alias("y")))
+        # a node's least is handed to each part of its neighbours, so that one with very many is no single task's work
+        dealt = both.where("y > x").withColumn("salt", F.pmod(F.xxhash64("y"), F.lit(SALTS)).cast("int"))
+        handed = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        large = tidy(dealt.join(handed, ["x", "salt"]).select(F.col("y").alias("x"), F.col("m").alias("y")))
         # small star: u and its smaller neighbours go to the least of them
         small_least = large.groupBy("x").agg(F.min("y").alias("m"))
         small = large.join(small_least, "x").select(F.explode(F.array(F.struct("x", F.col("m").alias("y")), F.struct(F.col("y").alias("x"), F.col("m").alias("y")))).alias("e")).select("e.*")
@@ -318,7 +380,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     sets = materialize(full_sets(df, shared.select("id").distinct(), key, text), "sets")
     stars = shared.where("id <> hub").select(F.col("id").alias("x"), F.col("hub").alias("y")).distinct()
     first = materialize(components(confirm(stars, reps, sets, percent)), "components")
-    more = stray_links(shared, first, sets, percent)
+    more = stray_links(shared, first, reps, sets, percent)
     # an id in several classes joins these classes
     same_id = members.where("id <> rep").select(F.col("id").alias("x"), F.col("rep").alias("y"))
     found = materialize(components(first.select(F.col("id").alias("x"), F.col("component").alias("y")).unionByName(more).unionByName(same_id)), "components")
@@ -329,5 +391,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
 
 def keep_one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = SIMILAR_PERCENT) -> DataFrame:
     """The documents of ``df`` that are their component's least, all columns."""
-    gone = near_duplicates(df, key, text, percent).where(~F.col("kept")).select(key).distinct()
-    return df.join(gone, key, "left_anti").select(*df.columns)
+    own = free_name(df, "near_duplicate")
+    plain = df.select(named(key).alias("key"), named(text).alias("text"))
+    gone = near_duplicates(plain, "key", "text", percent).where(~F.col("kept")).select(F.col("key").alias(own)).distinct()
+    return df.join(gone, named(key).cast("bigint") == F.col(own), "left_anti").select(*map(named, df.columns))

@@ -138,3 +138,45 @@ def test_query(spark, sf):
     d = f"/root/testdata/sf{sf}"
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
     assert got(op10_minhash_bbit(spark, d)) == brute(rows)
+
+
+def test_long_words(monkeypatch):
+    """Long words keep tables small, and one word has one hash wherever it stands."""
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdef", k=n)) for n in (3, 40, 41, 300, 5, 1000, 2, 39, 40)]
+    monkeypatch.setattr(minhash, "_LONG_WORD", 40)
+    whole = None
+    for piece in (10, 33, 100, 350, 5000):
+        monkeypatch.setattr(minhash, "_PIECE", piece)
+        monkeypatch.setattr(minhash, "_TABLES", [np.zeros(0, np.uint64)] * 2)
+        found = [word_hashes(" ".join(w).encode()) for w in (words, words[::-1], [*words[3:], *words[:3]])]
+        assert found[0].tolist() == found[1][::-1].tolist() == [*found[2][-3:], *found[2][:-3]]
+        assert len(minhash._TABLES[0]) <= piece + 200
+        assert whole is None or whole == found[0].tolist()
+        whole = found[0].tolist()
+    assert len(set(whole)) == len(set(words))
+
+
+def test_strays_need_a_likely_partner(spark):
+    """Buckets of many unlike members move signatures; sets only where a partner is likely."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2**63, 400, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[:n], rng.integers(0, 2**63, 400 - n, dtype=np.uint64)])) for n in (400, 390, 380, 200, 150, 0)]
+    made = {
+        "id": pa.array(range(6), pa.int64()), "c": pa.array(range(6), pa.int64()),
+        "packed": pa.array([signature(minima(x))[0].view(np.int64) for x in sets], pa.list_(pa.int64())), "set": pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())),
+    }
+    table = pa.table(made)
+    likely = minhash._likely(table, table, 75)
+    exact = np.array([[len(np.intersect1d(a, b)) / len(np.union1d(a, b)) for b in sets] for a in sets])
+    assert likely[(exact >= 0.75) & ~np.eye(6, dtype=bool)].all() and not likely[exact < 0.2].any() and not likely.diagonal().any()
+    links = minhash._linked(table, table, 75).to_pylist()
+    assert {(r["x"], r["y"]) for r in links} == {(i, j) for i in range(6) for j in range(6) if i != j and exact[i, j] >= 0.75}
+
+
+def test_odd_names(spark):
+    df = spark.createDataFrame([(1, "a b c d e f g", 1), (2, "a b c d e f g", 2), (3, None, 3)], "`i``d` bigint, `te.xt` string, near_duplicate int")
+    out = keep_one_of_each(df, "i`d", "te.xt")
+    assert out.columns == df.columns and sorted(r["i`d"] for r in out.collect()) == [1, 3]
