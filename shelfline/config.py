@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import dataclass, fields
 from datetime import datetime
+from typing import TYPE_CHECKING
+
+if TYPE_CHECKING:
+    from pyspark.sql import SparkSession
 
 #: Columns of the tab-separated files, in order.
 CLUSTERING_COLUMNS = (
@@ -29,6 +34,24 @@ class Settings:
     flush_docs: int = 1000
     pause_seconds: float = 0.1
 
+    @classmethod
+    def load(cls, spark: SparkSession | None = None, path: str | None = None, prefix: str = "spark.shelfline.") -> Settings:
+        """Defaults, over them a JSON file's fields, over them the session's settings
+        that begin with ``prefix``. Unknown names are refused."""
+        found: dict[str, object] = {}
+        if path is not None:
+            if spark is not None:  # wherever the session's file systems reach
+                found |= json.loads("\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect()))
+            else:
+                with open(path, encoding="utf-8") as f:
+                    found |= json.load(f)
+        if spark is not None:
+            found |= {k.removeprefix(prefix): v for k, v in spark.conf.getAll.items() if k.startswith(prefix)}
+        kinds = {f.name: type(f.default) for f in fields(cls)}
+        if unknown := set(found) - set(kinds):
+            raise ValueError(f"unknown settings: {', '.join(sorted(unknown))}")
+        return cls(**{k: datetime.fromisoformat(str(v)) if kinds[k] is datetime else kinds[k](v) for k, v in found.items()})
+
     def __post_init__(self) -> None:
         if self.band_bits <= 0 or self.hash_bits <= 0:
             raise ValueError("bands need a positive width")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
@@ -95,3 +95,9 @@ def shard(h: Column) -> Column:
 def sub_shard(h: Column, parts: int = 3) -> Column:
     """One of ``parts`` writers of a hash's shard."""
     return shard(h) + F.pmod(h.bitwiseAND(F.lit(0x7FFFFFFF)), F.lit(parts)) * (len(SHARD_BOUNDS) + 1)
+
+
+def routed(df: DataFrame, key: str, parts: int = 3) -> DataFrame:
+    """``df`` with ``SUB_SHARD``, dealt so that each writer's rows are one partition."""
+    count = (len(SHARD_BOUNDS) + 1) * parts
+    return df.withColumn("SUB_SHARD", sub_shard(murmur3(F.col(key).cast("string")), parts)).repartitionById(count, F.coalesce("SUB_SHARD", F.lit(0)))

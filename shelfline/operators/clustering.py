@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import CLUSTERING_COLUMNS, Settings
 from ..functions.hashes import fingerprint
 
 
@@ -12,6 +13,13 @@ def fingerprinted(goods: DataFrame) -> DataFrame:
     return goods.withColumn("FINGERPRINT", fingerprint(F.col("CTRL_ROWID"), F.col("G_NAME")))
 
 
+def stamped(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Fingerprinted listings with the run's time, in the columns of the file between
+    jobs; size and head are still unknown."""
+    names = {"UPDATE": F.lit(settings.batch_ts)} | {c: F.lit(None).cast("string") for c in CLUSTERING_COLUMNS if c not in rows.columns and c != "UPDATE"}
+    return rows.withColumns(names).select(*CLUSTERING_COLUMNS)
+
+
 def cluster_info(rows: DataFrame) -> DataFrame:
     """Size of every group."""
     return rows.groupBy("CTRL_ROWID", "FINGERPRINT").agg(F.count(F.lit(1)).alias("n")).select("FINGERPRINT", "n")

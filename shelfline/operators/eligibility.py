@@ -34,13 +34,19 @@ def without_sellers(rows: DataFrame, sellers: DataFrame) -> DataFrame:
     return known.join(sellers, "CTRL_ROWID", "left_anti")
 
 
+def greatest_ranks(ranks: DataFrame) -> DataFrame:
+    """(G_NO, RANK): each listing's greatest rank."""
+    order = F.struct(F.expr("try_cast(RANK as double)").alias("number"), F.col("RANK").alias("text"))
+    return ranks.groupBy("G_NO").agg(F.max(F.when(F.col("RANK").isNotNull(), order)).alias("__rank")).select("G_NO", F.col("__rank.text").alias("RANK"))
+
+
 def eligible_goods(goods: DataFrame, ads: DataFrame, ranks: DataFrame, sellers: DataFrame) -> DataFrame:
     """Eligible listings of other sellers, with their rank, unless an ad runs for
     them. Sellers are tested on each input by itself, before anything is joined: an
     ad of an excluded seller excludes no listing. Of several ranks of a listing the
-    greatest text counts."""
+    greatest number counts; text that is no number is less than any."""
     out = excluded_sellers(sellers)
     kept = without_sellers(eligible_listings(goods), out)
     running = without_sellers(active_ads(ads), out).select("G_NO").distinct()
-    ranked = without_sellers(ranks, out).groupBy("G_NO").agg(F.max("RANK").alias("RANK"))
+    ranked = greatest_ranks(without_sellers(ranks, out))
     return kept.join(running, "G_NO", "left_anti").join(ranked, "G_NO", "left")
