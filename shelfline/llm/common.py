@@ -3,6 +3,7 @@ tables and small column helpers."""
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -24,7 +25,7 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder shared by driver and executors")
     return LOCAL_SHARED
 
