@@ -30,9 +30,24 @@ def shared_dir(spark: SparkSession) -> str:
     return LOCAL_SHARED
 
 
+#: Paths handed out in this process, in order.
+_MADE: list[str] = []
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _MADE.append(f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def remove_scratch(spark: SparkSession, paths: Sequence[str] | None = None) -> None:
+    """Deletes ``paths``, or all that :func:`scratch` handed out in this process:
+    results that are still to be computed from them fail then."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in list(_MADE if paths is None else paths):
+        own = jvm.org.apache.hadoop.fs.Path(path)
+        own.getFileSystem(conf).delete(own, True)
+        _MADE.remove(path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -43,6 +58,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_alone(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """``materialize(make(), label)``, after which the files that ``make`` left on its
+    way are removed: nothing reads them any more."""
+    mark = len(_MADE)
+    out = materialize(make(), label)
+    remove_scratch(out.sparkSession, _MADE[mark:-1])
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
