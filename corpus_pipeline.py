@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import materialize, table
+from shelfline.llm.common import materialize_alone, table
 from shelfline.llm.minhash import keep_one_of_each
 from shelfline.llm.ngram_quality import drop_low_quality
 from shelfline.llm.packing import pack_documents
@@ -58,7 +58,9 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in turn; each one's result is kept in the shared folder, what its
+    operator wrote there on the way is removed."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        docs = materialize_alone(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
     return docs
