@@ -9,6 +9,7 @@ from ..operators.clustering import fingerprinted
 from ..operators.delta import snapshot_union
 from ..operators.eligibility import eligible_goods
 from ..operators.refine import group_refine
+from ..sources.scratch import scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,8 +59,12 @@ def refined(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current and old snapshot, one above the other."""
     number = F.col("G_NO").cast("bigint")
-    current = refined(spark, sf_dir).where(number % 29 != 0).withColumn("UPDATE", F.lit(2))
-    before = eligible(spark, sf_dir).where((number % 19 != 0) & (number % 23 != 1))
+    path = scratch(spark, "eligible")  # both snapshots begin with it
+    base = eligible(spark, sf_dir)
+    base.write.parquet(path)
+    base = spark.read.schema(base.schema).parquet(path)
+    current = group_refine(fingerprinted(base)).where(number % 29 != 0).withColumn("UPDATE", F.lit(2))
+    before = base.where((number % 19 != 0) & (number % 23 != 1))
     before = before.withColumn("G_NAME", F.when(number % 17 == 0, "renamed").otherwise(F.col("G_NAME")))
     return snapshot_union(current, group_refine(fingerprinted(before)).withColumn("UPDATE", F.lit(1)))
 
