@@ -7,7 +7,7 @@ import pytest
 
 from shelfline.llm import minhash
 from shelfline.llm.minhash import components, keep_one_of_each, least_estimate, minima, near_duplicates, shingle_set, signature, word_hashes
-from shelfline.llm.q_minhash import op10_minhash_bbit
+from shelfline.llm.q_minhash import ORACLES, op10_minhash_bbit
 
 
 def shingles(text):
@@ -180,3 +180,17 @@ def test_odd_names(spark):
     df = spark.createDataFrame([(1, "a b c d e f g", 1), (2, "a b c d e f g", 2), (3, None, 3)], "`i``d` bigint, `te.xt` string, near_duplicate int")
     out = keep_one_of_each(df, "i`d", "te.xt")
     assert out.columns == df.columns and sorted(r["i`d"] for r in out.collect()) == [1, 3]
+
+
+def test_sql():
+    """The oracle SQL is the definition."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.01/documents.parquet'")
+    rows = con.execute("SELECT doc_id, text FROM documents").fetchall() + [(-1, None), (-2, ""), (-3, "One  two"), (-4, "one two"), (-5, "a b c d e"), (-6, "a\tb\x0bc d\ne")]
+    con.execute("CREATE OR REPLACE TABLE all_rows (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO all_rows VALUES (?, ?)", rows[-6:])
+    con.execute("CREATE OR REPLACE TABLE both_rows AS SELECT doc_id, text FROM documents UNION ALL SELECT * FROM all_rows")
+    con.execute("CREATE OR REPLACE VIEW documents AS SELECT * FROM both_rows")
+    assert sorted(con.execute(ORACLES["op10_minhash_bbit"]).fetchall(), key=repr) == brute(rows)
