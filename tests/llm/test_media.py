@@ -8,7 +8,7 @@ import pytest
 from shelfline.llm.media import (
     decode, decode_bmp, decode_netpbm, difference_hash, encode_bmp, encode_pgm, encode_text, media_features, npy_tile, padded, resize_area, to_grey,
 )
-from shelfline.llm.q_media import op7_media_columns
+from shelfline.llm.q_media import ORACLES, op7_media_columns
 
 
 def test_netpbm_forms():
@@ -139,3 +139,16 @@ def test_odd_names(spark):
     df = spark.createDataFrame([(1, "abc", 2)], "`do``c.id` int, `te.xt` string, n int")
     row = media_features(encode_text(df, "te.xt", ("do`c.id",)), "media", ("do`c.id",)).first()
     assert row["do`c.id"] == 1 and row["error"] is None
+
+
+def test_sql(spark):
+    import duckdb
+
+    d = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{d}/documents.parquet'")
+    want = con.execute(ORACLES["op7_media_columns"])
+    names = [c[0] for c in want.description]
+    df = op7_media_columns(spark, d)
+    assert sorted(names) == sorted(df.columns)
+    assert sorted(map(tuple, df.select(*names).collect())) == sorted(want.fetchall())
