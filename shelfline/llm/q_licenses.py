@@ -23,6 +23,11 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _gram(k: int) -> str:
+    """k words from a place on, as SQL."""
+    return " || ' ' || ".join(["w", *(f"w{j}" for j in range(1, k))])
+
+
 _TEMPLATES = ",\n  ".join(f"({t}, '{label}', {phrase}, {k}, '{' '.join(gram)}', {at}, {grams}, {most})" for t, label, phrase, k, gram, at, grams, most in template_rows())
 #: The same by definition, with every k-gram of every text compared as text.
 _SQL = rf"""WITH templates(t, label, phrase, k, gram, tpos, grams, most) AS (VALUES
@@ -30,9 +35,10 @@ _SQL = rf"""WITH templates(t, label, phrase, k, gram, tpos, grams, most) AS (VAL
 docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
   FROM documents),
-places AS (SELECT doc_id, words, unnest(range(len(words))) AS pos FROM docs),
+places AS (SELECT doc_id, unnest(words) AS w, unnest(range(len(words))) AS pos FROM docs),
+runs_of AS (SELECT doc_id, pos, w, {", ".join(f"lead(w, {j}) OVER p AS w{j}" for j in range(1, K_TEXT))} FROM places WINDOW p AS (PARTITION BY doc_id ORDER BY pos)),
 grams AS (
-  SELECT doc_id, pos, k, array_to_string(words[pos + 1 : pos + k], ' ') AS gram FROM places, (VALUES ({K}), ({K_TEXT})) AS ks(k) WHERE pos + k <= len(words)),
+  {" UNION ALL ".join(f"SELECT doc_id, pos, {k} AS k, {_gram(k)} AS gram FROM runs_of WHERE w{k - 1} IS NOT NULL" for k in sorted({K, K_TEXT}))}),
 votes AS (SELECT doc_id, t, label, phrase, k, grams, most, tpos, pos, pos - tpos AS diag FROM grams JOIN templates USING (k, gram)),
 diagonals AS (
   SELECT doc_id, t, diag, sum(fresh) OVER (PARTITION BY doc_id, t ORDER BY diag) AS run FROM (

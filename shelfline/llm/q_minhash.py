@@ -15,9 +15,9 @@ def op10_minhash_bbit(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The same by definition: every pair of documents that share a shingle.
 _SQL = rf"""WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x09-\x0D\x20]+') AS w FROM documents),
-shingles AS (
-  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {SHINGLE} THEN [array_to_string(w, ' ')]
-    ELSE [array_to_string(w[i : i + {SHINGLE - 1}], ' ') FOR i IN range(1, len(w) - {SHINGLE - 2})] END) AS s FROM words),
+places AS (SELECT doc_id, unnest(w) AS w, unnest(range(len(w))) AS i, len(w) AS n FROM words),
+runs AS (SELECT doc_id, i, n, w, {", ".join(f"lead(w, {j}) OVER p AS w{j}" for j in range(1, SHINGLE))} FROM places WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+shingles AS (SELECT DISTINCT doc_id, concat_ws(' ', w, {", ".join(f"w{j}" for j in range(1, SHINGLE))}) AS s FROM runs WHERE i = 0 OR i <= n - {SHINGLE}),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
 links AS (SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= {SIMILAR_PERCENT} * (a.n + b.n - c)),

@@ -41,27 +41,27 @@ docs AS (
   SELECT doc_id, coalesce(text, '') AS text, coalesce(lead(coalesce(text, '')) OVER o, first_value(coalesce(text, '')) OVER o) AS following
   FROM documents WINDOW o AS (ORDER BY doc_id NULLS FIRST, coalesce(text, '') ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
 edits AS (SELECT *, substring(text, 1, length(text) - length(text) // 4) || substring(following, 1, length(text) // 4) AS edited FROM docs),
-texts AS (SELECT DISTINCT text FROM edits UNION SELECT DISTINCT edited FROM edits),
-cut AS (SELECT text, regexp_extract_all(text, '{UNIT}') AS units FROM texts),
+texts AS (SELECT text, row_number() OVER () AS tid FROM (SELECT text FROM edits UNION SELECT edited FROM edits)),
+cut AS (SELECT tid, regexp_extract_all(text, '{UNIT}') AS units FROM texts),
 words AS (SELECT DISTINCT unnest(units) AS unit FROM cut),
 hashed AS (
   SELECT unit, xor(list_reduce(list_concat([4294967295::BIGINT], [('0x' || hex(encode(unit))[2 * i + 1 : 2 * i + 2])::BIGINT FOR i IN range(octet_length(encode(unit)))]),
     lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM words, crc),
-placed AS (SELECT text, unnest(units) AS unit, unnest(range(len(units))) AS i, len(units) AS n FROM cut),
-row_of AS (SELECT text, i, n, h, {", ".join(f"lead(h, {j}) OVER p AS h{j}" for j in range(1, K))} FROM placed JOIN hashed USING (unit) WINDOW p AS (PARTITION BY text ORDER BY i)),
+placed AS (SELECT tid, unnest(units) AS unit, unnest(range(len(units))) AS i, len(units) AS n FROM cut),
+row_of AS (SELECT tid, i, n, h, {", ".join(f"lead(h, {j}) OVER p AS h{j}" for j in range(1, K))} FROM placed JOIN hashed USING (unit) WINDOW p AS (PARTITION BY tid ORDER BY i)),
 grams AS (
-  SELECT text, i, CASE WHEN n >= {K} THEN {_rolled(["h", *(f"h{j}" for j in range(1, K))])} {" ".join(f"WHEN n = {m} THEN {_rolled(['h', *(f'h{j}' for j in range(1, m))])}" for m in range(1, K))} END AS h,
+  SELECT tid, i, CASE WHEN n >= {K} THEN {_rolled(["h", *(f"h{j}" for j in range(1, K))])} {" ".join(f"WHEN n = {m} THEN {_rolled(['h', *(f'h{j}' for j in range(1, m))])}" for m in range(1, K))} END AS h,
          greatest(n - {K - 1}, 1) AS n
   FROM row_of WHERE i = 0 OR i <= n - {K}),
-packed AS (SELECT text, i, n, h * {1 << POSITION_BITS} + ({_TOP} - i) AS p FROM grams),
+packed AS (SELECT tid, i, n, h * {1 << POSITION_BITS} + ({_TOP} - i) AS p FROM grams),
 chosen AS (
-  SELECT DISTINCT text, p FROM (
-    SELECT text, i, n, min(p) OVER (PARTITION BY text ORDER BY i ROWS BETWEEN CURRENT ROW AND {W - 1} FOLLOWING) AS p FROM packed) WHERE i = 0 OR i <= n - {W}),
+  SELECT DISTINCT tid, p FROM (
+    SELECT tid, i, n, min(p) OVER (PARTITION BY tid ORDER BY i ROWS BETWEEN CURRENT ROW AND {W - 1} FOLLOWING) AS p FROM packed) WHERE i = 0 OR i <= n - {W}),
 prints AS (
-  SELECT text, string_agg(p::VARCHAR, ',' ORDER BY {_TOP} - (p & {_TOP})) AS numbers, string_agg(({_TOP} - (p & {_TOP}))::VARCHAR, ',' ORDER BY {_TOP} - (p & {_TOP})) AS places,
+  SELECT tid, string_agg(p::VARCHAR, ',' ORDER BY {_TOP} - (p & {_TOP})) AS numbers, string_agg(({_TOP} - (p & {_TOP}))::VARCHAR, ',' ORDER BY {_TOP} - (p & {_TOP})) AS places,
          list_distinct(list(p >> {POSITION_BITS})) AS hashes
-  FROM chosen GROUP BY text),
-whole AS (SELECT text, coalesce(numbers, '') AS numbers, coalesce(places, '') AS places, coalesce(hashes, []) AS hashes FROM texts LEFT JOIN prints USING (text)),
+  FROM chosen GROUP BY tid),
+whole AS (SELECT text, coalesce(numbers, '') AS numbers, coalesce(places, '') AS places, coalesce(hashes, []) AS hashes FROM texts LEFT JOIN prints USING (tid)),
 compared AS (
   SELECT e.doc_id, length(e.text) AS n_chars, e.edited, a.numbers AS own, b.numbers AS changed, a.places, a.hashes AS x, b.hashes AS y, c.hashes AS z
   FROM edits e JOIN whole a ON a.text = e.text JOIN whole b ON b.text = e.edited JOIN whole c ON c.text = e.following)
