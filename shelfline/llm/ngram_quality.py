@@ -301,8 +301,9 @@ def _unpack(blob: bytes) -> tuple[pa.Table, list[str], np.ndarray]:
 
 def packed_blocks(df: DataFrame, key: str, text: str, lang: str, blocks: int) -> DataFrame:
     """(block, blob): documents marked and packed, a block for each partition. The
-    block follows from the id, the text and the partition that a row stands in, so
-    rows equal in all columns are spread as well, and those that meet are held once."""
+    block follows from the text and the partition that a row stands in: equal texts
+    of one partition are held once, however many blocks there are, and those of
+    different partitions are spread."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, _Held] = {}
@@ -325,7 +326,7 @@ def packed_blocks(df: DataFrame, key: str, text: str, lang: str, blocks: int) ->
 
     hash_x, hash_y = text_hashes(named(text))
     rows = df.select(named(text).alias("text"), named(key).cast("bigint").alias("id"), hash_x, hash_y, named(lang).cast("string").alias("lang"))
-    block = F.pmod(F.xxhash64("id", "hash_x", F.spark_partition_id()), F.lit(blocks)).cast("int")
+    block = F.pmod(F.xxhash64("hash_x", F.spark_partition_id()), F.lit(blocks)).cast("int")
     return deal(rows.select(block.alias("block"), "*").mapInArrow(run, "block int, blob binary"), blocks)
 
 
