@@ -54,8 +54,8 @@ WORDS = PERMUTATIONS * BITS // 64
 SIGMAS = 6.0
 #: Strays and members of a bucket that meet in one block, about.
 BLOCK_STRAYS, BLOCK_MEMBERS = 512, 512
-#: The rows of a node with many neighbours are dealt to so many parts.
-SALTS = 16
+#: The rows of a node with many neighbours are dealt to so many parts; a bucket's pairs with its hub to parts of about so many.
+SALTS, HUB_ROWS = 16, 512
 
 _RANDOM = np.random.default_rng(20240501)
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -240,11 +240,21 @@ def full_sets(df: DataFrame, ids: DataFrame, key: str = "doc_id", text: str = "t
 
 
 def confirm(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (x, y) that are similar: by estimate first, then on sets."""
+    """Those of ``pairs`` (x, y, parts) that are similar: by estimate first, then on
+    sets. A pair of a large bucket goes to one of ``parts`` copies of its y, the hub, so
+    that no hub's pairs are a single task's work."""
+    dealt = materialize(pairs.withColumn("part", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int")), "pairs")
+    hubs = dealt.groupBy("y").agg(F.max("parts").alias("parts"))
+
+    def of_hubs(rows: DataFrame, column: str, name: str) -> DataFrame:
+        """(y, part, column) for each part of each hub."""
+        copies = rows.select(F.col("id").alias("y"), F.col(column).alias(name)).join(hubs, "y")
+        return copies.select("y", name, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+
     x = reps.select(F.col("id").alias("x"), F.col("packed").alias("px"))
-    y = reps.select(F.col("id").alias("y"), F.col("packed").alias("py"))
-    likely = pairs.join(x, "x").join(y, "y").where(estimated("px", "py") >= least_estimate(percent)).select("x", "y").distinct()
-    joined = likely.join(sets.select(F.col("id").alias("x"), F.col("set").alias("sx")), "x").join(sets.select(F.col("id").alias("y"), F.col("set").alias("sy")), "y")
+    near = estimated("px", "py") >= least_estimate(percent)
+    likely = dealt.join(x, "x").join(of_hubs(reps, "packed", "py"), ["y", "part"]).where(near).select("x", "y", "part").distinct()
+    joined = likely.join(sets.select(F.col("id").alias("x"), F.col("set").alias("sx")), "x").join(of_hubs(sets, "set", "sy"), ["y", "part"])
     both = F.size(F.array_intersect("sx", "sy")).cast("bigint")
     similar = 100 * both >= percent * (F.size("sx") + F.size("sy") - both)
     return joined.where(similar).select("x", "y").distinct()
@@ -375,10 +385,11 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     # a class's signature comes from its least id; an id with several texts has several
     reps = materialize(usable.join(members.where("id = rep").select("id", "a", "b"), ["id", "a", "b"], "left_semi").select("id", "packed", "bands"), "reps")
     bucketed = reps.select("id", F.explode("bands").alias("band"))
-    hubs = bucketed.groupBy("band").agg(F.min("id").alias("hub"), F.max("id").alias("other")).where("hub <> other").select("band", "hub")
-    shared = materialize(bucketed.join(hubs, "band").select("band", "hub", "id"), "buckets")
+    size = F.ceil(F.count(F.lit(1)) / HUB_ROWS).cast("int")
+    hubs = bucketed.groupBy("band").agg(F.min("id").alias("hub"), F.max("id").alias("other"), size.alias("parts")).where("hub <> other").select("band", "hub", "parts")
+    shared = materialize(bucketed.join(hubs, "band").select("band", "hub", "id", "parts"), "buckets")
     sets = materialize(full_sets(df, shared.select("id").distinct(), key, text), "sets")
-    stars = shared.where("id <> hub").select(F.col("id").alias("x"), F.col("hub").alias("y")).distinct()
+    stars = shared.where("id <> hub").groupBy(F.col("id").alias("x"), F.col("hub").alias("y")).agg(F.max("parts").alias("parts"))
     first = materialize(components(confirm(stars, reps, sets, percent)), "components")
     more = stray_links(shared, first, reps, sets, percent)
     # an id in several classes joins these classes
