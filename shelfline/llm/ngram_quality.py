@@ -242,7 +242,7 @@ def fit_model(trusted: DataFrame, text: str = "text") -> DataFrame:
     )
     weights = contexts.select("n", "h", "total", ((by_order(0) * F.col("n1") + by_order(1) * F.col("n2") + by_order(2) * F.col("n3")) / F.col("total")).alias("gamma"))
     off = F.when(F.col("c") == 1, by_order(0)).when(F.col("c") == 2, by_order(1)).otherwise(by_order(2))
-    own = levels.join(weights.select("n", "h", "total"), ["n", "h"]).select(F.col("g").alias("key"), (F.greatest(F.col("c") - off, F.lit(0.0)) / F.col("total")).alias("alpha"), F.lit(None).cast("double").alias("gamma"))
+    own = levels.join(weights.select("n", "h", "total").hint("merge"), ["n", "h"]).select(F.col("g").alias("key"), (F.greatest(F.col("c") - off, F.lit(0.0)) / F.col("total")).alias("alpha"), F.lit(None).cast("double").alias("gamma"))
     back = weights.select(F.col("h").alias("key"), F.lit(None).cast("double").alias("alpha"), "gamma")
     return materialize(own.unionByName(back).groupBy("key").agg(F.max("alpha").alias("alpha"), F.max("gamma").alias("gamma")), "kn-model")
 
@@ -368,7 +368,8 @@ SCORED = "id bigint, lang string, hash_x bigint, hash_y bigint, n_symbols bigint
 
 def score_blocks(blocks: DataFrame, model: DataFrame, count: int) -> DataFrame:
     """Perplexities of the documents in ``count`` packed blocks."""
-    found = block_ngrams(blocks).join(model, "key").select("block", "key", F.col("alpha").cast("float"), F.col("gamma").cast("float"))
+    # the model grows with the corpus: it is never broadcast, at small sizes neither
+    found = block_ngrams(blocks).join(model.hint("merge"), "key").select("block", "key", F.col("alpha").cast("float"), F.col("gamma").cast("float"))
     answers = deal(found, count)
     names = [x.split()[0] for x in SCORED.split(", ")]
 
