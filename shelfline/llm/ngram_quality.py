@@ -409,14 +409,15 @@ def trusted_ids(labels: DataFrame, key: str = "doc_id", label: str = "quality")
 
 def trusted_text(df: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Texts of trusted ids. A table of id buckets, of at most ID_BUCKETS rows, is
-    broadcast to leave out most other texts before the exact join moves them."""
+    broadcast to leave out most other texts before the exact join moves them. The ids
+    themselves grow with the corpus, so that join is the same at every size."""
 
     def bucket(c: str) -> Column:
         return F.pmod(F.xxhash64(c), F.lit(ID_BUCKETS)).alias("bucket")
 
     rows = df.select(named(key).cast("bigint").alias("id"), named(text).alias("text"))
     buckets = trusted.select(bucket("id")).distinct()
-    return rows.select("*", bucket("id")).join(F.broadcast(buckets), "bucket", "left_semi").join(trusted, "id", "left_semi").select("text")
+    return rows.select("*", bucket("id")).join(F.broadcast(buckets), "bucket", "left_semi").join(trusted.hint("merge"), "id", "left_semi").select("text")
 
 
 def decisions(df: DataFrame, labels: DataFrame, key: str, text: str, lang: str, quantile: float, slack: float) -> DataFrame:
