@@ -54,6 +54,8 @@ FACTORS, RATE, DECAY, SPREAD = 8, 0.05, 1e-4, 0.05
 STEPS, EPOCHS = 1_500, (10, 30)
 #: Training rows of a step.
 BATCH = 64
+#: Terms that are sorted or looked up at once: of the training rows the driver holds their terms and feature numbers, the rest does not grow with them.
+PIECE = 1 << 18
 PREFIXES = (3, 5)
 WORD = re.compile(r"[^\W\d_]+")
 _CACHE_WORDS = 120_000
@@ -125,31 +127,84 @@ class FactorizationMachine:
 
 
 def candidate_terms(rows: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Terms with parameters, and which of them stand out by themselves."""
-    terms, at, n = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
-    hits = np.bincount(at, weights=y[owner], minlength=len(terms))
-    p = y.mean()
-    strong = np.abs(hits - n * p) >= MIN_Z * np.sqrt(n * p * (1 - p))
-    order = np.argsort(-n, kind="stable")
-    order = order[n[order] >= np.where(strong[order], MIN_ROWS_STRONG, max(MIN_ROWS, len(rows) * MIN_SHARE))][:MAX_FEATURES]
+    """Terms with parameters, and which of them stand out by themselves. Terms are
+    counted range by range, of so many ranges that one has about PIECE of them."""
+    p, least = y.mean(), max(MIN_ROWS, len(rows) * MIN_SHARE)
+    sizes = np.array([len(x) for x in rows], dtype=np.int64)
+    blocks = np.split(np.arange(len(rows)), np.flatnonzero(np.diff(np.cumsum(sizes) // PIECE)) + 1)
+    edges = [(i << 32) // n - (1 << 31) for n in [int(sizes.sum()) // PIECE + 1] for i in range(n + 1)]
+    found = []
+    for low, high in zip(edges, edges[1:]):
+        own, marks = [], []
+        for block in blocks:
+            flat = np.concatenate([rows[i] for i in block])
+            within = (flat >= low) & (flat <= high - 1)
+            own.append(flat[within])
+            marks.append(np.repeat(y[block], sizes[block])[within])
+        terms, at, n = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+        hits = np.bincount(at, weights=np.concatenate(marks), minlength=len(terms))
+        strong = np.abs(hits - n * p) >= MIN_Z * np.sqrt(n * p * (1 - p))
+        enough = n >= np.where(strong, MIN_ROWS_STRONG, least)
+        found.append((terms[enough], strong[enough], n[enough]))
+    terms, strong, n = map(np.concatenate, zip(*found))
+    order = np.argsort(-n, kind="stable")[:MAX_FEATURES]
     return terms[order], strong[order]
 
 
-class Step:
-    """A mini-batch, whose rows never change: the features it uses and where its
-    rows have them. ``matrix`` is rows by used features, of one batch at a time."""
-
-    def __init__(self, rows: list[np.ndarray], y: np.ndarray) -> None:
-        self.y = y.astype(np.float32)
-        self.owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in rows])
-        self.used, place = np.unique(np.concatenate(rows), return_inverse=True)
-        self.place = place.astype(np.int32)
-
-    def matrix(self) -> np.ndarray:
-        out = np.zeros((len(self.y), len(self.used)), np.float32)
-        out[self.owner, self.place] = 1
-        return out
+class Steps:
+    """Mini-batches, whose rows never change: the feature numbers of all rows in one
+    array, step by step. A step's matrix is there only while it is used."""
+
+    def __init__(self, rows: list[np.ndarray], y: np.ndarray, parts: list[np.ndarray], chosen: np.ndarray) -> None:
+        order = np.argsort(chosen)
+        ranked, order = chosen[order], order.astype(np.int32)
+        self.flat = np.empty(sum(map(len, rows)), np.int32)
+        self.y = [y[part].astype(np.float32) for part in parts]
+        self.sizes: list[np.ndarray] = []
+        self.starts = [0]
+        self.seen, self.place = np.zeros(len(chosen), bool), np.zeros(len(chosen), np.int32)
+        end = 0
+        for part in parts:
+            sizes = []
+            for row in (rows[i] for i in part):
+                begin = end
+                for at in range(0, len(row), PIECE):
+                    piece = row[at : at + PIECE]
+                    near = np.minimum(np.searchsorted(ranked, piece), len(ranked) - 1)
+                    own = order[near[ranked[near] == piece]]
+                    self.flat[end : end + len(own)] = own
+                    end += len(own)
+                sizes.append(end - begin)
+            self.sizes.append(np.array(sizes))
+            self.starts.append(end)
+
+    def __len__(self) -> int:
+        return len(self.y)
+
+    def keep(self, alive: np.ndarray) -> None:
+        """Only these features stay."""
+        end, starts = 0, self.starts
+        self.starts = [0]
+        for i, (a, b) in enumerate(zip(starts, starts[1:])):
+            own = self.flat[a:b]
+            stays = alive[own]
+            owner = np.repeat(np.arange(len(self.sizes[i])), self.sizes[i])
+            self.sizes[i] = np.bincount(owner[stays], minlength=len(self.sizes[i]))
+            own = own[stays]
+            self.flat[end : end + len(own)] = own
+            end += len(own)
+            self.starts.append(end)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Labels, used features and the matrix of rows by used features."""
+        own = self.flat[self.starts[i] : self.starts[i + 1]]
+        self.seen[own] = True
+        used = np.flatnonzero(self.seen)
+        self.seen[used] = False
+        self.place[used] = np.arange(len(used), dtype=np.int32)
+        matrix = np.zeros((len(self.y[i]), len(used)), np.float32)
+        matrix[np.repeat(np.arange(len(self.y[i]), dtype=np.int32), self.sizes[i]), self.place[own]] = 1
+        return self.y[i], used, matrix
 
 
 def fit(rows: list[np.ndarray], labels: list[int], seed: int = 7) -> FactorizationMachine:
@@ -164,32 +219,21 @@ def fit(rows: list[np.ndarray], labels: list[int], seed: int = 7) -> Factorizati
         return machine
     rng = np.random.default_rng(seed)
     k = len(chosen)
-    order = np.argsort(chosen)
-    ranked = chosen[order]
-
-    def numbers(row: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(ranked, row), k - 1)
-        return order[at[ranked[at] == row]]
-
-    parts = np.array_split(rng.permutation(len(rows)), max(1, len(rows) // BATCH))
-    data = [numbers(x) for x in rows]
-    steps = [Step([data[i] for i in part], y[part]) for part in parts]
+    steps = Steps(rows, y, np.array_split(rng.permutation(len(rows)), max(1, len(rows) // BATCH)), chosen)
     # single precision halves what the sums move
     w, v = np.zeros(k, np.float32), rng.normal(0, SPREAD, (k, FACTORS)).astype(np.float32)
     gw, gv, gb = np.full(k, 1e-2, np.float32), np.full((k, FACTORS), 1e-2, np.float32), 1e-2
     price = np.where(strong, 0.0, PENALTY).astype(np.float32)
     for epoch in range(min(EPOCHS[1], max(EPOCHS[0], -(-STEPS // len(steps))))):
         if epoch == TRIAL:
-            alive = strong | (w != 0) | v.any(axis=1)
-            data = [x[alive[x]] for x in data]
-            steps = [Step([data[i] for i in part], y[part]) for part in parts]
+            steps.keep(strong | (w != 0) | v.any(axis=1))
         for i in rng.permutation(len(steps)):
-            step = steps[i]
-            n, used, x = len(step.y), step.used, step.matrix()
+            marks, used, x = steps[i]
+            n = len(marks)
             own_w, own_v = w[used], v[used]
             sums = x @ own_v
             out = machine.bias + x @ (own_w - (own_v**2).sum(axis=1) / 2) + (sums**2).sum(axis=1) / 2
-            error = 1 / (1 + np.exp(-np.clip(out, -40, 40))) - step.y
+            error = 1 / (1 + np.exp(-np.clip(out, -40, 40))) - marks
             gradient_b = float(error.mean())
             gb += gradient_b**2
             machine.bias -= RATE * gradient_b / gb**0.5
@@ -251,12 +295,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
     last = within[-1]
     crc = F.crc32(F.encode("key", "UTF-8"))
     found = kept.where((crc < last[0]) | ((crc == last[0]) & (F.col("key") <= last[1]))).select("key", "label", "terms").toArrow()
-    at = {k: i for i, k in enumerate(found["key"].to_pylist())}
-    ranked = [at[k] for _, k in within]
-    marks = found["label"].to_pylist()
-    lists = found["terms"].combine_chunks()
-    values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
-    return [values[offsets[i] : offsets[i + 1]] for i in ranked], [marks[i] for i in ranked]
+    own: dict[str, tuple[np.ndarray, int]] = {}
+    for batch in found.to_batches():  # views: what came is held once
+        values, offsets = batch.column("terms").values.to_numpy(), batch.column("terms").offsets.to_numpy()
+        for i, (k, mark) in enumerate(zip(batch.column("key").to_pylist(), batch.column("label").to_pylist())):
+            own[k] = values[offsets[i] : offsets[i + 1]], mark
+    return [own[k][0] for _, k in within], [own[k][1] for _, k in within]
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, **names: str) -> FactorizationMachine:

@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -129,3 +130,43 @@ def test_query_is_the_sum_by_definition(spark, sf_dir):
             so_far = so_far + v
         assert abs(rows[doc["doc_id"]]["score"] - 1 / (1 + np.exp(-value))) < 1e-6
         assert rows[doc["doc_id"]]["held_out"] == (zlib.crc32(str(doc["doc_id"]).encode()) % 5 == 0)
+
+
+def rows_of_terms(n, size, seed=3):
+    rng = np.random.default_rng(seed)
+    vocabulary = rng.integers(-(1 << 31), 1 << 31, 40_000).astype(np.int32)
+    rows = [np.unique(vocabulary[(40_000 * rng.random(size) ** 3).astype(int)]) for _ in range(n)]
+    return rows, [int(vocabulary[200] in x) for x in rows]
+
+
+def test_fit_holds_little_besides_its_rows(monkeypatch):
+    """On the driver; the pipeline's check stopped for that. Nor does it keep memory afterwards."""
+    monkeypatch.setattr(toxicity, "EPOCHS", (4, 4))
+    rows, labels = rows_of_terms(4000, 1500)
+    taken = sum(x.nbytes for x in rows)
+    tracemalloc.start()
+    try:
+        fit(rows, labels)
+        left, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert taken > 10e6 and most < 2 * taken + 32e6 and left < 8e6
+
+
+@pytest.mark.parametrize("piece", [1, 50, 997, 1 << 18])
+def test_terms_by_ranges_are_those_of_all(monkeypatch, piece):
+    rows, labels = rows_of_terms(400, 20)
+    rows[3], rows[7] = rows[3][:0], np.array([-(1 << 31), (1 << 31) - 1], np.int32)
+    rows += [rows[7]] * 20
+    y = np.array(labels + [1] * 20, dtype=float)
+    monkeypatch.setattr(toxicity, "PIECE", piece, raising=False)
+    terms, strong = toxicity.candidate_terms(rows, y)
+    counts, hits = {}, {}
+    for row, mark in zip(rows, y):
+        for t in row.tolist():
+            counts[t], hits[t] = counts.get(t, 0) + 1, hits.get(t, 0) + mark
+    p = y.mean()
+    stands_out = {t: abs(hits[t] - n * p) >= toxicity.MIN_Z * (n * p * (1 - p)) ** 0.5 for t, n in counts.items()}
+    found = sorted((t for t, n in counts.items() if n >= (toxicity.MIN_ROWS_STRONG if stands_out[t] else toxicity.MIN_ROWS)), key=lambda t: (-counts[t], t))
+    assert terms.tolist() == found and strong.tolist() == [stands_out[t] for t in found]
+    assert {-(1 << 31), (1 << 31) - 1} <= set(found)
